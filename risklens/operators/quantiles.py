@@ -78,18 +78,18 @@ def sketch(long: DataFrame, keys: list[str], k: Column, *, accuracy: int = ACCUR
         max_rows=200_000)
 
 
-def _bounds(whole: str, side: str, picked: str) -> str:
+def _bounds(whole: str, side: str, picked: str, slots: int = SLOTS) -> str:
     """Bracket array of one side; a group kept whole has one bracket around everything."""
     first = "double('-inf')" if side == "lo" else "double('inf')"
-    rest = f"array_repeat(double('inf'), {SLOTS - 1})"
+    rest = f"array_repeat(double('inf'), {slots - 1})"
     return f"IF({whole}, concat(array({first}), {rest}), {picked}) AS {side}"
 
 
-def histogram(long: DataFrame, keys: list[str], sk: DataFrame) -> DataFrame:
+def histogram(long: DataFrame, keys: list[str], sk: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Counting rows per group: bracketed values (``v``) and gaps between brackets (``v`` null)."""
     rows = attach(long.where(F.col("x").isNotNull()), derived(sk, sk.select(*keys, "lo", "hi")), keys)
-    above = " + ".join(f"IF(hi[{i}] < x, 1, 0)" for i in range(SLOTS))
-    begun = " + ".join(f"IF(lo[{i}] <= x, 1, 0)" for i in range(SLOTS))
+    above = " + ".join(f"IF(hi[{i}] < x, 1, 0)" for i in range(slots))
+    begun = " + ".join(f"IF(lo[{i}] <= x, 1, 0)" for i in range(slots))
     rows = rows.selectExpr(*keys, "x", "y", f"{above} AS gap", f"{begun} AS _begun")
     return (rows.groupBy(*keys, "gap", F.expr("IF(_begun > gap, x, NULL)").alias("v"))
             .agg(F.count("*").alias("n"), F.sum(F.col("y").cast("bigint")).alias("n_bad"),
@@ -140,9 +140,8 @@ def group_median(long: DataFrame, keys: list[str], **kw) -> DataFrame:
 def group_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                     accuracy: int = ACCURACY, small_n: int = SMALL_N,
                     few_values: int = FEW_VALUES) -> DataFrame:
-    """Exact quantiles at up to nine fixed probabilities per group (array ``q``)."""
-    if len(probs) > SLOTS:
-        raise ValueError(f"at most {SLOTS} probabilities per call")
+    """Exact quantiles at fixed probabilities per group (array ``q``)."""
+    slots = len(probs)
     margin = 2.0 / accuracy
     wanted = [max(0.0, min(1.0, p + s)) for p in probs for s in (-margin, margin)]
     base = long.where(F.col("x").isNotNull())
@@ -150,17 +149,15 @@ def group_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
         F.count("x").alias("n"), F.approx_count_distinct("x").alias("_nd"),
         F.percentile_approx("x", wanted, accuracy).alias("_s"))
     whole = f"(n <= {small_n} OR _nd <= {few_values})"
-    spare = f"array_repeat(double('inf'), {SLOTS - len(probs)})"
 
     def picked(side: int) -> str:
-        got = ", ".join(f"_s[{2 * i + side}]" for i in range(len(probs)))
-        return f"concat(array({got}), {spare})"
+        return "array(" + ", ".join(f"_s[{2 * i + side}]" for i in range(slots)) + ")"
 
-    sk = pin(agg.selectExpr(*keys, "n", _bounds(whole, "lo", picked(0)),
-                            _bounds(whole, "hi", picked(1))), max_rows=200_000)
+    sk = pin(agg.selectExpr(*keys, "n", _bounds(whole, "lo", picked(0), slots),
+                            _bounds(whole, "hi", picked(1), slots)), max_rows=200_000)
     if "y" not in base.columns:
         base = base.withColumn("y", F.lit(0))
-    hist = histogram(base, keys, sk)
+    hist = histogram(base, keys, sk, slots)
     cum = running_total(hist, keys, "gap", [F.col("x_min")], ["n"])
     rows = attach(cum, derived(sk, sk.select(*keys, F.col("n").alias("_n"))), keys)
     pos = {i: f"(CAST(_n - 1 AS DOUBLE) * {p!r}D)" for i, p in enumerate(probs)}
