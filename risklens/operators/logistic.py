@@ -25,7 +25,7 @@ from risklens.operators.quantiles import group_median
 from risklens.operators.ranking import auc
 from risklens.operators.segments import (KEY, SEG, clean_double, eligible, long_form, segment_sizes,
                                          skip_reason, tag_name)
-from risklens.operators.small import attach, is_pinned, pin
+from risklens.operators.small import attach, is_pinned, local, pin
 
 FOLDS = 5
 MAX_ITER = 50
@@ -62,12 +62,12 @@ def standardiser(df: DataFrame, roles: Roles, segs: DataFrame, **shape) -> DataF
                max_rows=200_000)
 
 
-def _segment_codes(df: DataFrame, roles: Roles, codes: DataFrame, full: bool, dims: bool,
+def _segment_codes(roles: Roles, codes: dict[tuple[str, str], int], full: bool, dims: bool,
                    tags: bool) -> list[Column]:
     """Columns holding the model code of each segment a row belongs to (null: none)."""
     by_dim: dict[str, dict[str, int]] = {}
-    for r in codes.collect():
-        by_dim.setdefault(r["segment_dim"], {})[r["segment_name"]] = r["code"]
+    for (dim, name), code in codes.items():
+        by_dim.setdefault(dim, {})[name] = code
     out: list[Column] = []
     if full and ALL in by_dim:
         out.append(F.lit(by_dim[ALL][ALL]))
@@ -219,14 +219,12 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
         models[code] = [-1, *range(FOLDS)] if cv else [-1]
         names[code] = (*key, r["n"], r["n_bad"])
     if thin:
-        few = spark.createDataFrame([(*k, "features") for k in thin],
-                                    "segment_dim string, segment_name string, _few string")
-        ledger = (ledger.join(F.broadcast(few), SEG, "left")
+        few = local(spark, [(*k, "features") for k in thin],
+                    "segment_dim string, segment_name string, _few string")
+        ledger = (attach(ledger, few, SEG, "left")
                   .withColumn("skip_reason", F.coalesce("skip_reason", "_few")).drop("_few"))
 
-    codes = spark.createDataFrame([(*names[c][:2], c) for c in names],
-                                  "segment_dim string, segment_name string, code int")
-    member = _segment_codes(df, roles, codes, full, dims, tags)
+    member = _segment_codes(roles, {names[c][:2]: c for c in names}, full, dims, tags)
     rows = df.select(F.col(roles.target).cast("int").alias("y"),
                      fold_of(F.col(roles.key), FOLDS).alias("fold"),
                      *[m.cast("double").alias(f"s_{i}") for i, m in enumerate(member)],
@@ -251,10 +249,10 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
             base = float(w[-1] - (slope[live] * mean[live]).sum())
             lines.append((dim, name, int(m), kind, int(n), int(n_bad), base,
                           [float(s) for s in slope], [float(v) for v in fill]))
-    coefs = spark.createDataFrame(
-        coef_rows, "segment_dim string, segment_name string, feature string, lr_coef double")
-    table = spark.createDataFrame(
-        lines, "segment_dim string, segment_name string, model int, auc_type string, n bigint, "
+    coefs = local(
+        spark, coef_rows, "segment_dim string, segment_name string, feature string, lr_coef double")
+    table = local(
+        spark, lines, "segment_dim string, segment_name string, model int, auc_type string, n bigint, "
                "n_bad bigint, base double, slope array<double>, fill array<double>")
     return SegmentModels(coefs, _segment_auc(df, roles, table, shape), ledger)
 
@@ -268,7 +266,7 @@ def _segment_auc(df: DataFrame, roles: Roles, lines: DataFrame, shape: dict) ->
                      fold_of(F.col(roles.key), FOLDS).alias("fold"),
                      *[clean_double(F.col(f)).alias(n) for f, n in zip(roles.features, feats)])
     rows = expand(slim, Roles(roles.key, "y", (), roles.dims, roles.tags), **shape)
-    table = pin(lines)
+    table = lines
     hit = attach(rows, table, SEG).where((F.col("model") == -1) | (F.col("model") == F.col("fold")))
     score = "base" + "".join(f" + slope[{i}] * coalesce({f}, fill[{i}])" for i, f in enumerate(feats))
     scores = hit.select(*SEG, "model", "y", F.expr(score).alias("score"))

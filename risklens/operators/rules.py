@@ -25,7 +25,7 @@ from risklens.functions.labels import stability_grade, suggested_use, wilson
 from risklens.operators.quantiles import group_median, running_total
 from risklens.operators.ranking import bucket_sql, grid_edges
 from risklens.operators.segments import SEG, clean_double, expand, segment_sizes
-from risklens.operators.small import attach, derived, is_pinned, pin
+from risklens.operators.small import attach, derived, is_pinned, local, pin
 
 NULL_GROUP = "(missing)"
 CONDITION = "struct<feature:string,op:string,threshold:double>"
@@ -90,9 +90,8 @@ class Trees:
             thr = [float(nodes[i][1]) if i in nodes else None for i in range(size)]
             n, bad = self.train[key]
             rows.append((*key, feat, thr, self.fills[key], n, bad))
-        return pin(spark.createDataFrame(
-            rows, "segment_dim string, segment_name string, feat array<int>, thr array<double>, "
-                  "fill array<double>, train_n bigint, train_bad bigint"))
+        return local(spark, rows, "segment_dim string, segment_name string, feat array<int>, "
+                                  "thr array<double>, fill array<double>, train_n bigint, train_bad bigint")
 
 
 def _imputed(n: int) -> str:
@@ -130,9 +129,8 @@ def grow(rows: DataFrame, features: list[str], fills: dict, train: dict,
     trees = Trees({k: {} for k in train}, fills, train)
     min_leaf = min_leaf or {k: max(RULES.min_leaf_floor, int(n * RULES.min_leaf_ratio))
                             for k, (n, _) in train.items()}
-    leaf_table = pin(spark.createDataFrame(
-        [(*k, int(v)) for k, v in min_leaf.items()],
-        "segment_dim string, segment_name string, min_leaf bigint"))
+    leaf_table = local(spark, [(*k, int(v)) for k, v in min_leaf.items()],
+                       "segment_dim string, segment_name string, min_leaf bigint")
     for depth in range(max_depth):
         best = _level(rows, features, trees, leaf_table, depth)
         for r in best:
@@ -146,9 +144,8 @@ def grow(rows: DataFrame, features: list[str], fills: dict, train: dict,
 def _level(rows: DataFrame, features: list[str], trees: Trees, leaf_table: DataFrame,
            depth: int) -> list:
     spark = rows.sparkSession
-    table = attach(trees.table(spark), leaf_table, SEG)
-    table = pin(table)
-    at = attach(rows.where("train"), table, SEG)
+    table = trees.table(spark)
+    at = attach(attach(rows.where("train"), table, SEG), leaf_table, SEG)
     at = at.select(*SEG, "y", F.expr(_imputed(len(features))).alias("x"), "feat", "thr",
                    "train_n", "train_bad", "min_leaf")
     at = at.withColumn("node", F.expr(_descend(depth)).cast("int"))
@@ -393,15 +390,17 @@ def candidates(df: DataFrame, roles: Roles, *, full: bool = True, dims: tuple[st
         key = (r["segment_dim"], r["segment_name"])
         if key in fills:
             fills[key][feats.index(r["feature"])] = r["median"]
-    keep = pin(spark.createDataFrame(list(train), "segment_dim string, segment_name string"))
+    keep = local(spark, list(train), "segment_dim string, segment_name string")
     rows = attach(rows, keep, SEG)
     trees = grow(rows, feats, fills, train, max_depth)
-    raw = spark.createDataFrame(
-        [(d, n, leaf, conds, fills[d, n]) for d, n, leaf, conds in paths(trees, feats)],
+    raw = local(spark, [
+        (d, n, leaf, [dict(zip(("feature", "op", "threshold"), c)) for c in conds], fills[d, n])
+        for d, n, leaf, conds in paths(trees, feats)],
         f"segment_dim string, segment_name string, leaf int, conditions array<{CONDITION}>, "
         "fill array<double>")
     stats = leaf_counts(rows, trees, len(feats))
-    overall = pin(trees.table(spark).select(*SEG, "train_n", "train_bad"))
+    table = trees.table(spark)
+    overall = derived(table, table.select(*SEG, "train_n", "train_bad"))
     rate = F.col("leaf_bad") / F.col("leaf_n")
     rules = (raw.join(stats, [*SEG, "leaf"]).join(overall, SEG)
              .where((F.col("leaf_bad") >= RULES.min_bad_in_leaf)

@@ -10,7 +10,10 @@ and joins against it are left to the optimizer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 MAX_ROWS = 50_000
 MAX_BYTES = 128 << 20
@@ -50,3 +53,14 @@ def derived(small: DataFrame, df: DataFrame) -> DataFrame:
     if is_pinned(small):
         df._pinned_rows = small._pinned_rows
     return df
+
+
+def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Pinned table from driver-side rows (fitted models, configuration)."""
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = to_arrow_schema(fields)
+    table = pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    df = spark.createDataFrame(table, schema=fields)
+    df._pinned_rows = len(rows)
+    return df

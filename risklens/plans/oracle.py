@@ -69,15 +69,14 @@ def elig(min_n=50, min_bad=10, min_good=0, full_free=True, tag_n=True, name="eli
     return f"{name} AS (SELECT * FROM sizes WHERE {cond})"
 
 
-def long(features=FEATURES, extra="", name="long", fill=None) -> str:
+def long(features=FEATURES, extra="", name="long", fill=None, gate="elig") -> str:
     val = (lambda f: f"COALESCE(CAST({f} AS DOUBLE), {fill})") if fill is not None else (
         lambda f: f"CAST({f} AS DOUBLE)")
     items = ", ".join(f"{{'f': '{f}', 'x': {val(f)}}}" for f in features)
     more = f", {extra}" if extra else ""
     return (f"{name} AS (SELECT {S}, p.f AS feature, p.x AS x, y{more} FROM (SELECT seg.segment_dim, "
             f"seg.segment_name, is_bad AS y{more}, UNNEST([{items}]) AS p FROM seg "
-            f"JOIN elig ON seg.segment_dim = elig.segment_dim "
-            f"AND seg.segment_name = elig.segment_name))")
+            f"JOIN {gate} g ON seg.segment_dim = g.segment_dim AND seg.segment_name = g.segment_name))")
 
 
 def _quantile_bins(src: str, meta: str, p: str) -> list[str]:
@@ -153,11 +152,11 @@ def level(iv="iv") -> str:
             f"ELSE {power(iv)} END")
 
 
-def iv_ctes(name: str = "ivt") -> list[str]:
+def iv_ctes(name: str = "ivt", src: str = "long") -> list[str]:
     """CTEs up to the IV table; needs ``long``."""
     tg = "(n_rows - bad_rows)"
     return [
-        *binning(),
+        *binning(src),
         f"parts AS (SELECT {K}, SUM({part('(b.n - b.n_bad)', 'b.n_bad', tg, 'bad_rows')}) AS iv_s, "
         f"COUNT(*) AS n_bins, MAX(CASE WHEN kind = 'quantile' THEN ne - 1 END) AS n_edges "
         f"FROM bins b JOIN tot t USING ({K}) GROUP BY {K})",

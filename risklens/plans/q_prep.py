@@ -434,19 +434,31 @@ def _fin_sql() -> dict[str, str]:
 
 
 FIN_SQL = _fin_sql()
+# Amount-sized outputs are compared to fewer decimals: doubles carry no more.
+FIN_BIG = ("debt_revenue_ratio", "other_bank_loans")
+
+
+def _fin_digits(c: str) -> int:
+    return 4 if c in FIN_BIG else 7
+
+
+def _fin_rounded(df):
+    return df.select(*[F.round(c, _fin_digits(c)).alias(c) if c in FIN_OUT else F.col(c) for c in df.columns])
+
+
 _raw = "fin AS (SELECT c_custkey, " + ", ".join(f"{e} AS {k}" for k, e in FIN_SQL.items()) + " FROM wide)"
 
 
-@query("c4_finance_ratios", O.with_(O.WIDE, _raw) + f"SELECT c_custkey, {r(*FIN_OUT, digits=6)} FROM fin")
+@query("c4_finance_ratios", O.with_(O.WIDE, _raw) + f"SELECT c_custkey, " + ", ".join(f"ROUND({c}, {_fin_digits(c)}) AS {c}" for c in FIN_OUT) + " FROM fin")
 def finance_ratios(ws: Workspace):
     out = FE.finance_features(ws.wide, FIN_NAMES, clip=False).select("c_custkey", *FIN_OUT)
-    return rounded(out, FIN_OUT, 6)
+    return _fin_rounded(out)
 
 
 def _clip(c):
     lo, hi = f"q.{c}[1]", f"q.{c}[2]"
     return (f"ROUND(CASE WHEN {c}_n < 20 OR {lo} = {hi} OR fin.{c} IS NULL THEN fin.{c} "
-            f"ELSE LEAST({hi}, GREATEST({lo}, fin.{c})) END, 6) AS {c}")
+            f"ELSE LEAST({hi}, GREATEST({lo}, fin.{c})) END, {_fin_digits(c)}) AS {c}")
 
 
 _clipped = [f.name for f in FE.FINANCE if f.winsorise]
@@ -456,7 +468,7 @@ _q = "q AS (SELECT " + ", ".join(f"QUANTILE_CONT({c}, [0.01, 0.99]) AS {c}, COUN
 @query("c5_winsorise", O.with_(O.WIDE, _raw, _q) + "SELECT c_custkey, " + ", ".join(_clip(c) for c in _clipped) + " FROM fin, q")
 def winsorise(ws: Workspace):
     out = FE.finance_features(ws.wide, FIN_NAMES).select("c_custkey", *_clipped)
-    return rounded(out, _clipped, 6)
+    return _fin_rounded(out)
 
 
 @query("c8_drop_flat", WIDE + "SELECT c_custkey, n_orders, open_orders FROM wide")

@@ -10,10 +10,10 @@ from risklens.plans.workspace import FEATURES, ROLES, Workspace
 K = O.K
 
 
-def corr_ctes(fill=None, full=False, dims=O.DIMS, tags=O.TAGS, zero=False) -> list[str]:
+def corr_ctes(fill=None, full=False, dims=O.DIMS, tags=O.TAGS, zero=False, only_groups=False) -> list[str]:
     """CTEs up to ``uni``: moments, r, difference, t and dof of the eligible segments."""
     gate = ("elig AS (SELECT * FROM sizes WHERE (n >= 50 OR segment_dim = '__tag__') AND n_bad >= 15 "
-            "AND n_good >= 30)")
+            "AND n_good >= 30" + (" AND segment_dim <> '__all__')" if only_groups else ")"))
     pear = "CASE WHEN sx > 0 AND sy > 0 THEN cov / (sx * sy) END"
     se = "(vb / n_bad + vg / n_good)"
     t = f"CASE WHEN {se} > 0 THEN (mean_bad - mean_good) / SQRT({se}) END"
