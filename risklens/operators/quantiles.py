@@ -1,9 +1,10 @@
 """Exact per-group quantiles and histograms without sorting whole groups.
 
-Two passes over the data serve any number of groups:
+A few shared passes over the data serve any number of groups:
 
-1. ``sketch`` - one mergeable quantile sketch per group (map-side combine, one small row per group).
-   It brackets every wanted order statistic between two values whose rank error is bounded.
+1. ``sketch`` - counts of every group and, for the large groups, one mergeable quantile sketch
+   (map-side combine, one small row per group). It brackets every wanted order statistic between
+   two values whose rank error is bounded.
 2. ``histogram`` - one hash aggregation: values inside a bracket keep their identity, the rows of
    each gap between brackets collapse into one counting row. Only the bracketed values are shuffled.
 
@@ -57,32 +58,44 @@ def sketch(long: DataFrame, keys: list[str], k: Column, *, accuracy: int = ACCUR
 
     ``k`` may use the columns ``n`` and ``n_bad`` (rows with a value).
     """
-    margin = 2.0 / accuracy
-    probes = [max(0.0, min(1.0, float(p) + s)) for p in _PROBES for s in (-margin, margin)]
     has = F.col("x").isNotNull()
-    agg = long.groupBy(*keys).agg(
+    basic = pin(long.groupBy(*keys).agg(
         F.count("*").alias("n_rows"), F.sum(F.col("y").cast("bigint")).alias("bad_rows"),
         F.count("x").alias("n"),
         F.coalesce(F.sum(F.when(has, F.col("y").cast("bigint"))), F.lit(0)).alias("n_bad"),
-        F.min("x").alias("x_lo"), F.max("x").alias("x_hi"),
-        F.approx_count_distinct("x").alias("_nd"),
-        F.percentile_approx("x", probes, accuracy).alias("_s"))
-    whole = f"(n <= {small_n} OR _nd <= {few_values})"
+        F.min("x").alias("x_lo"), F.max("x").alias("x_hi")).withColumn("k", k.cast("int")),
+        max_rows=200_000)
+    everything = _bounds("lo"), _bounds("hi")
+    big = derived(basic, basic.where(F.col("n") > small_n))
+    if big.isEmpty():
+        out = basic.selectExpr("*", "true AS whole", *everything)
+        return derived(basic, out)
+    margin = 2.0 / accuracy
+    probes = [max(0.0, min(1.0, float(p) + s)) for p in _PROBES for s in (-margin, margin)]
     table = "array(" + ", ".join(f"array({', '.join(map(str, r))})" for r in _SLOT_INDEX) + ")"
-    return pin(agg.withColumn("k", k.cast("int")).selectExpr(
-        *keys, "n_rows", "bad_rows", "n", "n_bad", "x_lo", "x_hi", "k", f"{whole} AS whole",
-        _bounds(whole, "lo", f"transform(element_at({table}, k - 1), j -> "
-                             "IF(j >= 0, get(_s, j * 2), double('inf')))"),
-        _bounds(whole, "hi", f"transform(element_at({table}, k - 1), j -> "
-                             "IF(j >= 0, get(_s, j * 2 + 1), double('inf')))")),
+    picked = [f"transform(element_at({table}, k - 1), j -> IF(j >= 0, get(_s, j * 2 + {side}), double('inf')))"
+              for side in (0, 1)]
+    many = f"_nd > {few_values}"
+    sketched = _sketch_big(long, keys, big, probes, accuracy)
+    return pin(basic.join(sketched, keys, "left").selectExpr(
+        *basic.columns, f"NOT coalesce({many}, false) AS whole",
+        f"IF(coalesce({many}, false), {picked[0]}, {everything[0].removesuffix(' AS lo')}) AS lo",
+        f"IF(coalesce({many}, false), {picked[1]}, {everything[1].removesuffix(' AS hi')}) AS hi"),
         max_rows=200_000)
 
 
-def _bounds(whole: str, side: str, picked: str, slots: int = SLOTS) -> str:
-    """Bracket array of one side; a group kept whole has one bracket around everything."""
+def _sketch_big(long: DataFrame, keys: list[str], big: DataFrame, probes: list[float],
+                accuracy: int) -> DataFrame:
+    """Quantile sketch and distinct estimate of the large groups only."""
+    rows = attach(long.where(F.col("x").isNotNull()), derived(big, big.select(*keys)), keys)
+    return rows.groupBy(*keys).agg(F.approx_count_distinct("x").alias("_nd"),
+                                   F.percentile_approx("x", probes, accuracy).alias("_s"))
+
+
+def _bounds(side: str, slots: int = SLOTS) -> str:
+    """Bracket array of a group kept whole: one bracket around everything."""
     first = "double('-inf')" if side == "lo" else "double('inf')"
-    rest = f"array_repeat(double('inf'), {slots - 1})"
-    return f"IF({whole}, concat(array({first}), {rest}), {picked}) AS {side}"
+    return f"concat(array({first}), array_repeat(double('inf'), {slots - 1})) AS {side}"
 
 
 def histogram(long: DataFrame, keys: list[str], sk: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -142,19 +155,21 @@ def group_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                     few_values: int = FEW_VALUES) -> DataFrame:
     """Exact quantiles at fixed probabilities per group (array ``q``)."""
     slots = len(probs)
-    margin = 2.0 / accuracy
-    wanted = [max(0.0, min(1.0, p + s)) for p in probs for s in (-margin, margin)]
     base = long.where(F.col("x").isNotNull())
-    agg = base.groupBy(*keys).agg(
-        F.count("x").alias("n"), F.approx_count_distinct("x").alias("_nd"),
-        F.percentile_approx("x", wanted, accuracy).alias("_s"))
-    whole = f"(n <= {small_n} OR _nd <= {few_values})"
-
-    def picked(side: int) -> str:
-        return "array(" + ", ".join(f"_s[{2 * i + side}]" for i in range(slots)) + ")"
-
-    sk = pin(agg.selectExpr(*keys, "n", _bounds(whole, "lo", picked(0), slots),
-                            _bounds(whole, "hi", picked(1), slots)), max_rows=200_000)
+    basic = pin(base.groupBy(*keys).agg(F.count("x").alias("n")), max_rows=200_000)
+    big = derived(basic, basic.where(F.col("n") > small_n))
+    lo, hi = _bounds("lo", slots), _bounds("hi", slots)
+    if big.isEmpty():
+        sk = derived(basic, basic.selectExpr("*", lo, hi))
+    else:
+        margin = 2.0 / accuracy
+        wanted = [max(0.0, min(1.0, p + s)) for p in probs for s in (-margin, margin)]
+        many = f"coalesce(_nd > {few_values}, false)"
+        picked = ["array(" + ", ".join(f"_s[{2 * i + side}]" for i in range(slots)) + ")"
+                  for side in (0, 1)]
+        sk = pin(basic.join(_sketch_big(base, keys, big, wanted, accuracy), keys, "left").selectExpr(
+            *keys, "n", f"IF({many}, {picked[0]}, {lo.removesuffix(' AS lo')}) AS lo",
+            f"IF({many}, {picked[1]}, {hi.removesuffix(' AS hi')}) AS hi"), max_rows=200_000)
     if "y" not in base.columns:
         base = base.withColumn("y", F.lit(0))
     hist = histogram(base, keys, sk, slots)

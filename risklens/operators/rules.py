@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from risklens.config import GATES, RULES, Roles
 from risklens.functions.hashing import in_sample
 from risklens.functions.labels import stability_grade, suggested_use, wilson
-from risklens.operators.quantiles import group_median, running_total
+from risklens.operators.quantiles import SMALL_N, group_median, running_total
 from risklens.operators.ranking import bucket_sql, grid_edges
 from risklens.operators.segments import SEG, clean_double, expand, segment_sizes
 from risklens.operators.small import attach, derived, is_pinned, local, pin
@@ -131,8 +131,10 @@ def grow(rows: DataFrame, features: list[str], fills: dict, train: dict,
                             for k, (n, _) in train.items()}
     leaf_table = local(spark, [(*k, int(v)) for k, v in min_leaf.items()],
                        "segment_dim string, segment_name string, min_leaf bigint")
+    grid = grid_edges(_exploded(rows.where("train"), features).where(F.col("x").isNotNull()),
+                      [*SEG, "feature"], "x")
     for depth in range(max_depth):
-        best = _level(rows, features, trees, leaf_table, depth)
+        best = _level(rows, features, trees, leaf_table, grid, depth)
         for r in best:
             key = (r["segment_dim"], r["segment_name"])
             trees.splits[key][r["node"]] = (features.index(r["feature"]), r["threshold"])
@@ -142,7 +144,7 @@ def grow(rows: DataFrame, features: list[str], fills: dict, train: dict,
 
 
 def _level(rows: DataFrame, features: list[str], trees: Trees, leaf_table: DataFrame,
-           depth: int) -> list:
+           grid: DataFrame, depth: int) -> list:
     spark = rows.sparkSession
     table = trees.table(spark)
     at = attach(attach(rows.where("train"), table, SEG), leaf_table, SEG)
@@ -153,8 +155,8 @@ def _level(rows: DataFrame, features: list[str], trees: Trees, leaf_table: DataF
         *NODE, "y", "x", (F.col("train_n") - F.col("train_bad")).alias("tg"),
         F.col("train_bad").alias("tb"), "min_leaf")
     long = _exploded(at, features).where(F.col("x").isNotNull())
-    grid = grid_edges(long, CELL, "x")
-    long = attach(long, grid, CELL).withColumn("bucket", F.expr(bucket_sql("x", "_grid")))
+    long = attach(long, grid, [*SEG, "feature"]).withColumn(
+        "bucket", F.expr(bucket_sql("x", "_grid"))).drop("_grid")
 
     good, bad = F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)
     coarse = (long.groupBy(*CELL, "bucket", "tg", "tb", "min_leaf")
@@ -185,17 +187,14 @@ def _level(rows: DataFrame, features: list[str], trees: Trees, leaf_table: DataF
                 .join(floor, NODE, "left")
                 .where(F.col("best").isNull() | (corners >= F.col("best") - 1e-12))
                 .select(*CELL, "bucket", (F.col("cg") - F.col("g")).alias("og"),
-                        (F.col("cb") - F.col("b")).alias("ob"), "ng", "nb", "x_next"),
-                max_rows=200_000)
+                        (F.col("cb") - F.col("b")).alias("ob"), "ng", "nb",
+                        (F.col("g") + F.col("b")).alias("size")), max_rows=200_000)
     found = border
     if not (is_pinned(open_) and open_._pinned_rows == 0):
         fine = (attach(long, open_, [*CELL, "bucket"])
                 .groupBy(*CELL, "bucket", "x", "tg", "tb", "min_leaf", "og", "ob", "ng", "nb")
                 .agg(good.alias("g"), bad.alias("b")))
-        # A bucket may hold many distinct values of one feature, so order it in slices.
-        slices = grid_edges(fine, [*CELL, "bucket"], "x")
-        fine = attach(fine, slices, [*CELL, "bucket"]).withColumn(
-            "slice", F.expr(bucket_sql("x", "_grid"))).drop("_grid")
+        fine = _sliced(fine, open_)
         cum = running_total(fine, [*CELL, "bucket"], "slice", [F.col("x")], ["g", "b"])
         heads = cum.groupBy(*CELL, "bucket", "slice").agg(F.min("x").alias("_h"))
         ws = Window.partitionBy(*CELL, "bucket").orderBy("slice")
@@ -216,6 +215,18 @@ def _level(rows: DataFrame, features: list[str], trees: Trees, leaf_table: DataF
     return best.collect()  # at most one row per open node
 
 
+def _sliced(fine: DataFrame, open_: DataFrame) -> DataFrame:
+    """Order column for the running totals: large buckets are cut once more, small ones stay whole."""
+    big = derived(open_, open_.where(F.col("size") > SMALL_N))
+    if big.isEmpty():
+        return fine.withColumn("slice", F.lit(0))
+    keys = [*CELL, "bucket"]
+    grid = grid_edges(attach(fine, derived(big, big.select(*keys)), keys), keys, "x")
+    cut = F.coalesce(F.expr(bucket_sql("x", "_grid")), F.lit(0))
+    return attach(fine, grid, keys, "left").withColumn(
+        "slice", F.when(F.col("_grid").isNotNull(), cut).otherwise(0)).drop("_grid")
+
+
 def paths(trees: Trees, features: list[str]) -> list[tuple]:
     """Leaf paths as (segment_dim, segment_name, leaf, [(feature, op, threshold)])."""
     out = []
