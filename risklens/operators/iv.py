@@ -34,7 +34,7 @@ def adaptive_binning(long: DataFrame, keys: list[str] = KEY, bins: int = IV.bins
     ed = pin(Q.edges(hist, keys, good_sk), max_rows=200_000)
     flat = (~F.col("by_value")) & (F.size("edges") <= 2)
 
-    meta = derived(ed, ed.select(*keys, "edges", "by_value", "mode_x", flat.alias("_flat")))
+    meta = derived(ed, ed.select(*keys, "edges", "by_value", flat.alias("_flat")))
     rows = attach(hist, meta, keys)
     index = F.greatest(F.lit(1), F.size(F.filter("edges", lambda e: e < F.col("x_min"))))
     first = (rows.where(~F.col("_flat"))
@@ -43,9 +43,11 @@ def adaptive_binning(long: DataFrame, keys: list[str] = KEY, bins: int = IV.bins
                          .otherwise(index.cast("double"))))
     out = _collapse(first, keys)
 
-    zero_heavy = pin(ed.where(flat).select(*keys, F.col("k").alias("_k"), "mode_x"))
+    heavy_keys = derived(ed, ed.where(flat).select(*keys, F.col("k").alias("_k")))
+    zero_heavy = pin(attach(hist.where(F.col("v").isNotNull()), heavy_keys, keys).groupBy(*keys, "_k").agg(
+        F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("mode_x")))
     if not is_empty(zero_heavy):
-        modes = (rows.where(F.col("_flat") & (F.col("v") == F.col("mode_x")))
+        modes = (attach(hist, zero_heavy, keys).where(F.col("v") == F.col("mode_x"))
                  .withColumn("kind", F.lit("mode")).withColumn("_bin", F.lit(0.0)))
         rest = attach(long, zero_heavy, keys).where(F.col("x") != F.col("mode_x"))
         rest_k = F.greatest(F.lit(2), F.col("_k") - 1)

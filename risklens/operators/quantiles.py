@@ -109,37 +109,37 @@ def histogram(long: DataFrame, keys: list[str], sk: DataFrame, slots: int = SLOT
                  F.min("x").alias("x_min"), F.max("x").alias("x_max")))
 
 
+_POSITIONS = ("transform(sequence(1, k - 1), i -> CAST(n - 1 AS DOUBLE) * "
+              "(CAST(i AS DOUBLE) / CAST(k AS DOUBLE)))")
+
+
 def edges(hist: DataFrame, keys: list[str], sk: DataFrame) -> DataFrame:
-    """Distinct quantile edges 0, 1/k .. 1 of every group, plus its mode and value-bin flag."""
-    cum = running_total(hist, keys, "gap", [F.col("x_min")], ["n"])
-    meta = derived(sk, sk.select(*keys, F.col("n").alias("_n"), "k", "whole", "x_lo", "x_hi"))
-    rows = attach(cum, meta, keys)
-    pos = {i: f"(CAST(_n - 1 AS DOUBLE) * ({i}D / CAST(k AS DOUBLE)))" for i in range(1, MAX_K)}
-    got = rows.groupBy(*keys, "_n", "k", "whole", "x_lo", "x_hi").agg(
-        *_order_statistics(pos), F.count("v").alias("_nv"),
-        F.expr("max_by(v, IF(v IS NOT NULL, struct(n, -v), NULL))").alias("mode_x"))
-    cuts = "array(" + ", ".join(
-        f"IF({i} >= k, CAST(NULL AS DOUBLE), {_interpolate(i, p)})" for i, p in pos.items()) + ")"
-    return got.selectExpr(*keys, "k", "whole", "x_lo", "x_hi", "_nv", "mode_x",
-                          f"filter({cuts}, e -> e IS NOT NULL) AS cuts").selectExpr(
+    """Distinct quantile edges 0, 1/k .. 1 of every group, and its value-bin flag."""
+    meta = derived(sk, sk.selectExpr(*keys, "k", "whole", "x_lo", "x_hi", f"{_POSITIONS} AS pos"))
+    cuts = _interpolated(hist, keys, meta)
+    distinct = hist.groupBy(*keys).agg(F.count("v").alias("_nv"))
+    return meta.join(cuts, keys).join(distinct, keys).selectExpr(
         *keys, "k", "array_distinct(concat(array(x_lo), cuts, array(x_hi))) AS edges", "cuts",
-        "whole AND _nv <= k AS by_value", "IF(whole, _nv, NULL) AS n_distinct", "mode_x")
-
+        "whole AND _nv <= k AS by_value", "IF(whole, _nv, NULL) AS n_distinct")
 
-def _order_statistics(pos: dict[int, str]) -> list[Column]:
-    """The values at the ranks below and above each position."""
-    out = []
-    for i, p in pos.items():
-        for name, rank in ((f"_a{i}", f"floor({p}) + 1"), (f"_b{i}", f"ceil({p}) + 1")):
-            hit = f"cum_n - n < {rank} AND {rank} <= cum_n"
-            out.append(F.expr(f"max(CASE WHEN {hit} THEN v END)").alias(name))
-    return out
 
+def _interpolated(hist: DataFrame, keys: list[str], meta: DataFrame) -> DataFrame:
+    """Values at the fractional positions ``pos`` (zero based) of every group, as array ``cuts``.
 
-def _interpolate(i: int, pos: str) -> str:
+    Only the few histogram rows that hold a wanted rank go into the final aggregation.
+    """
+    ranks = "array_distinct(flatten(transform(pos, p -> array(floor(p) + 1, ceil(p) + 1))))"
+    small = derived(meta, meta.selectExpr(*keys, "pos", f"{ranks} AS ranks"))
+    cum = running_total(hist, keys, "gap", [F.col("x_min")], ["n"])
+    hit = (attach(cum, small, keys)
+           .selectExpr(*keys, "v", "pos", "filter(ranks, r -> cum_n - n < r AND r <= cum_n) AS hits")
+           .where("size(hits) > 0").select(*keys, "v", "pos", F.explode("hits").alias("r")))
     missed = "CAST(raise_error('quantile bracket missed its rank') AS DOUBLE)"
-    return (f"IF(_a{i} IS NULL OR _b{i} IS NULL, {missed}, "
-            f"_a{i} + (_b{i} - _a{i}) * ({pos} - floor({pos})))")
+    at = lambda rank: f"coalesce(at[{rank} + 1], {missed})"
+    low, high = at("floor(p)"), at("ceil(p)")
+    return (hit.groupBy(*keys).agg(F.first("pos").alias("pos"),
+                                   F.expr("map_from_entries(collect_list(struct(r, v)))").alias("at"))
+            .selectExpr(*keys, f"transform(pos, p -> {low} + ({high} - {low}) * (p - floor(p))) AS cuts"))
 
 
 def group_median(long: DataFrame, keys: list[str], **kw) -> DataFrame:
@@ -173,9 +173,8 @@ def group_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
     if "y" not in base.columns:
         base = base.withColumn("y", F.lit(0))
     hist = histogram(base, keys, sk, slots)
-    cum = running_total(hist, keys, "gap", [F.col("x_min")], ["n"])
-    rows = attach(cum, derived(sk, sk.select(*keys, F.col("n").alias("_n"))), keys)
-    pos = {i: f"(CAST(_n - 1 AS DOUBLE) * {p!r}D)" for i, p in enumerate(probs)}
-    got = rows.groupBy(*keys, "_n").agg(*_order_statistics(pos))
-    values = "array(" + ", ".join(_interpolate(i, p) for i, p in pos.items()) + ")"
-    return pin(got.selectExpr(*keys, "_n AS n", f"{values} AS q"), max_rows=200_000)
+    pos = "array(" + ", ".join(f"CAST(n - 1 AS DOUBLE) * {p!r}D" for p in probs) + ")"
+    meta = derived(sk, sk.selectExpr(*keys, "n", f"{pos} AS pos"))
+    cuts = _interpolated(hist, keys, meta)
+    return pin(meta.select(*keys, "n").join(cuts, keys).select(*keys, "n", F.col("cuts").alias("q")),
+               max_rows=200_000)

@@ -98,7 +98,14 @@ class Workspace:
 
     @cached_property
     def wide(self) -> DataFrame:
-        return self._keep(risk_wide(self.spark, self.sf_dir))
+        """The prepared table, laid out by key for the passes that fan every row out.
+
+        Each analysis pass expands a row to its segments and features, so the small partitions
+        that adaptive execution would merge are kept apart.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        parts = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)
+        return self._keep(risk_wide(self.spark, self.sf_dir).repartition(parts, "c_custkey"))
 
     @cached_property
     def iv_full(self) -> DataFrame:
