@@ -40,6 +40,12 @@ class Trigger:
         return self.category.split("-")[0]
 
 
+def _number(column: str) -> Column:
+    """Numeric reading of a column; unreadable text and NaN are missing."""
+    x = F.expr(f"try_cast(`{column}` AS DOUBLE)")
+    return F.when(~F.isnan(x), x)
+
+
 def scope_mask(columns: list[str], scope: Any) -> Column | None:
     """Predicate of a scope; None when its dimension is not in the table."""
     if scope in (None, "full"):
@@ -89,7 +95,7 @@ def thresholds(df: DataFrame, triggers: list[Trigger], target: str) -> list[dict
         if t.explicit:
             base.update(operator=t.explicit[0], value=float(t.explicit[1]), source="explicit")
             continue
-        x = F.when(mask, F.expr(f"try_cast(`{t.column}` AS DOUBLE)"))
+        x = F.when(mask, _number(t.column))
         for k, v in (("g", 0), ("b", 1)):
             side = F.when(y == v, x)
             aggs += [F.count(side).alias(f"n{k}_{i}"), F.avg(side).alias(f"m{k}_{i}")]
@@ -112,8 +118,8 @@ def thresholds(df: DataFrame, triggers: list[Trigger], target: str) -> list[dict
     if thin:
         parts = F.explode(F.array(*[
             F.struct(F.lit(i).alias("i"), F.when(
-                scope_mask(cols, triggers[i].scope),
-                F.expr(f"try_cast(`{triggers[i].column}` AS DOUBLE)")).alias("x")) for i in thin]))
+                scope_mask(cols, triggers[i].scope), _number(triggers[i].column)).alias("x"))
+            for i in thin]))
         for r in group_quantiles(df.select(parts.alias("p")).select("p.*"), ["i"], [0.5]).collect():
             out[r["i"]]["value"] = r["q"][0]
     return list(out.values())
@@ -146,8 +152,7 @@ def flags(df: DataFrame, triggers: list[Trigger], found: list[dict], *, key: str
     """Wide table: ``value_i`` and ``hit_i`` (1 / 0, null without a value) per trigger."""
     values, hits = {}, {}
     for i, (t, f) in enumerate(zip(triggers, found)):
-        x = (F.expr(f"try_cast(`{t.column}` AS DOUBLE)") if t.column in df.columns
-             else F.lit(None).cast("double"))
+        x = _number(t.column) if t.column in df.columns else F.lit(None).cast("double")
         values[f"value_{i}"] = x
         if not _live(t, f):
             hits[f"hit_{i}"] = F.lit(None).cast("int")

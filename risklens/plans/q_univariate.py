@@ -39,12 +39,12 @@ def corr_ctes(fill=None, full=False, dims=O.DIMS, tags=O.TAGS, zero=False, only_
 
 
 COLS = ("corr", "t_stat", "t_dof")
-OUT = f"SELECT {K}, n, n_bad, n_good, {r(*COLS)}, {r('mean_bad', 'mean_good', 'mean_diff', digits=7)} FROM uni"
+OUT = f"SELECT {K}, n, n_bad, n_good, {r(*COLS)}, {r('mean_bad', 'mean_good', 'mean_diff', digits=6)} FROM uni"
 
 
 def _shown(df):
     keep = [*S.KEY, "n", "n_bad", "n_good", *COLS, "mean_bad", "mean_good", "mean_diff"]
-    return rounded(rounded(df.select(*keep), COLS), ("mean_bad", "mean_good", "mean_diff"), 7)
+    return rounded(rounded(df.select(*keep), COLS), ("mean_bad", "mean_good", "mean_diff"), 6)
 
 
 @query("d2_segment_stats", O.with_(O.WIDE, O.seg(full=False, tags=()), O.sizes()) + """
@@ -109,19 +109,19 @@ def point_biserial(ws: Workspace):
     return rounded(out, ("corr", "corr_t"))
 
 
-@query("d8_welch_t", FULL + f"SELECT feature, {r('mean_good', 'mean_bad', digits=7)}, {r('t_stat', 't_dof')} FROM pb")
+@query("d8_welch_t", FULL + f"SELECT feature, {r('mean_good', 'mean_bad', digits=6)}, {r('t_stat', 't_dof')} FROM pb")
 def welch_t(ws: Workspace):
     out = U.point_biserial(ws.wide, ROLES, p_values=False)
     out = out.select("feature", "mean_good", "mean_bad", "t_stat", "t_dof")
-    return rounded(rounded(out, ("t_stat", "t_dof")), ("mean_good", "mean_bad"), 7)
+    return rounded(rounded(out, ("t_stat", "t_dof")), ("mean_good", "mean_bad"), 6)
 
 
 @query("d9_univariate_full", FULL + f"SELECT feature, n, {r('corr', 'corr_t', 't_stat', 't_dof')}, "
-       f"{r('mean_good', 'mean_bad', 'mean_diff', digits=7)} FROM pb")
+       f"{r('mean_good', 'mean_bad', 'mean_diff', digits=6)} FROM pb")
 def univariate_full(ws: Workspace):
     out = U.point_biserial(ws.wide, ROLES, p_values=False)
     out = rounded(out, ("corr", "corr_t", "t_stat", "t_dof"))
-    return rounded(out, ("mean_good", "mean_bad", "mean_diff"), 7)
+    return rounded(out, ("mean_good", "mean_bad", "mean_diff"), 6)
 
 
 @query("d9_univariate_full_p")

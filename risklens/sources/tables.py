@@ -7,6 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # Encodings tried in order.
 ENCODINGS = ("utf-8", "gbk", "gb18030", "iso-8859-1")
+STANDARD = ("utf-8", "iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32")
 _SAMPLE_BYTES = 1 << 20
 
 
@@ -30,6 +31,9 @@ def read_csv(spark: SparkSession, path: str, *, keys: tuple[str, ...] = (),
              encoding: str | None = None, schema: StructType | str | None = None) -> DataFrame:
     """CSV with header; key columns always stay text, so leading zeros survive."""
     enc = encoding or detect_encoding(spark, path)
+    if enc.lower() not in STANDARD:
+        # The reader accepts other Java charsets only under this session setting.
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.option("header", True).option("encoding", enc)
     if schema is None:
         guessed = reader.option("inferSchema", True).csv(path).schema
