@@ -24,6 +24,8 @@ class Binned:
 def adaptive_binning(long: DataFrame, keys: list[str] = KEY, bins: int = IV.bins,
                      min_n: int = GATES.min_n, **sketch_args) -> Binned:
     """Value bins, quantile bins, or mode bin + quantile bins of the rest (first that splits)."""
+    if bins > Q.MAX_K:
+        raise ValueError(f"at most {Q.MAX_K} bins")
     n, bad = F.col("n"), F.col("n_bad")
     sk = Q.sketch(long, keys, labels.adaptive_bins(n, bad, bins), **sketch_args)
     total_good = F.col("n_rows") - F.col("bad_rows")
@@ -161,19 +163,19 @@ def woe_by_value(df: DataFrame, column: str, target: str, min_n: int = GATES.min
     c = F.col(column).cast("string")
     cells = (df.where(F.col(target).isNotNull()).groupBy(c.alias("value"))
              .agg(F.count("*").alias("n"), F.sum(y).alias("n_bad")))
-    tot = cells.agg(F.sum("n").alias("_n"), F.sum("n_bad").alias("_tb"),
-                    F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("_nn"),
-                    F.count("value").alias("_nv"))
-    rows = (cells.crossJoin(F.broadcast(tot))  # one totals row
-            .where((F.col("_nn") >= min_n) & (F.col("_nv") > 1) & (F.col("_tb") > 0)
-                   & (F.col("_n") > F.col("_tb"))))
-    good, tg = F.col("n") - F.col("n_bad"), F.col("_n") - F.col("_tb")
-    return rows.select(
+    tot = cells.agg(F.sum("n").alias("n"), F.sum("n_bad").alias("tb"),
+                    F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("nn"),
+                    F.count("value").alias("nv")).first()
+    n, tb = tot["n"] or 0, tot["tb"] or 0
+    usable = (tot["nn"] or 0) >= min_n and tot["nv"] > 1 and 0 < tb < n
+    good = F.col("n") - F.col("n_bad")
+    sums = (F.lit(n - tb), F.lit(tb))
+    return cells.where(F.lit(usable)).select(
         "value", "n", "n_bad",
         (F.when(F.col("n_bad") == 0, F.lit(0.5)).otherwise(F.col("n_bad").cast("double"))
          / F.col("n")).alias("bad_rate"),
-        labels.woe(good, F.col("n_bad"), tg, F.col("_tb")).alias("woe"),
-        labels.iv_part(good, F.col("n_bad"), tg, F.col("_tb")).alias("iv"))
+        labels.woe(good, F.col("n_bad"), *sums).alias("woe"),
+        labels.iv_part(good, F.col("n_bad"), *sums).alias("iv"))
 
 
 def reliability_summary(iv: DataFrame) -> DataFrame:

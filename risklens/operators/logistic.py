@@ -62,26 +62,28 @@ def standardiser(df: DataFrame, roles: Roles, segs: DataFrame, **shape) -> DataF
                max_rows=200_000)
 
 
-def _segment_codes(roles: Roles, codes: dict[tuple[str, str], int], full: bool, dims: bool,
-                   tags: bool) -> list[Column]:
-    """Columns holding the model code of each segment a row belongs to (null: none)."""
+def _with_codes(df: DataFrame, roles: Roles, codes: dict[tuple[str, str], int], full: bool,
+                dims: bool, tags: bool) -> tuple[DataFrame, int]:
+    """Columns ``s_i`` with the model code of each segment a row belongs to (null: none)."""
+    spark = df.sparkSession
     by_dim: dict[str, dict[str, int]] = {}
     for (dim, name), code in codes.items():
         by_dim.setdefault(dim, {})[name] = code
-    out: list[Column] = []
+    cols: dict[str, Column] = {}
     if full and ALL in by_dim:
-        out.append(F.lit(by_dim[ALL][ALL]))
-    if dims:
-        for d in roles.dims:
-            if d in by_dim:
-                pairs = [F.lit(x) for kv in by_dim[d].items() for x in kv]
-                out.append(F.create_map(*pairs)[F.col(d).cast("string")])
-    if tags:
-        for t in roles.tags:
-            code = by_dim.get(TAG_DIM, {}).get(tag_name(t))
-            if code is not None:
-                out.append(F.when(F.col(t) == 1, F.lit(code)))
-    return out
+        cols["s_0"] = F.lit(float(by_dim[ALL][ALL]))
+    i = len(cols)
+    for d in roles.dims if dims else ():
+        if d in by_dim:
+            table = local(spark, [(n, float(c)) for n, c in by_dim[d].items()], f"_g_{i} string, s_{i} double")
+            df = df.join(F.broadcast(table), F.col(d).cast("string") == F.col(f"_g_{i}"), "left").drop(f"_g_{i}")
+            i += 1
+    for t in roles.tags if tags else ():
+        code = by_dim.get(TAG_DIM, {}).get(tag_name(t))
+        if code is not None:
+            cols[f"s_{i}"] = F.when(F.col(t) == 1, F.lit(float(code)))
+            i += 1
+    return df.withColumns(cols) if cols else df, i
 
 
 def _sums(n_codes: int, n_feats: int, params: dict, state: dict):
@@ -224,16 +226,16 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
         ledger = (attach(ledger, few, SEG, "left")
                   .withColumn("skip_reason", F.coalesce("skip_reason", "_few")).drop("_few"))
 
-    member = _segment_codes(roles, {names[c][:2]: c for c in names}, full, dims, tags)
-    rows = df.select(F.col(roles.target).cast("int").alias("y"),
+    coded, n_codes = _with_codes(df, roles, {names[c][:2]: c for c in names}, full, dims, tags)
+    rows = coded.select(F.col(roles.target).cast("int").alias("y"),
                      fold_of(F.col(roles.key), FOLDS).alias("fold"),
-                     *[m.cast("double").alias(f"s_{i}") for i, m in enumerate(member)],
+                     *[f"s_{i}" for i in range(n_codes)],
                      *[clean_double(F.col(f)).alias(f"f_{i}") for i, f in enumerate(feats)])
     solved: dict = {}
     todo = list(models)
     for i in range(0, len(todo), CHUNK):
         part = todo[i:i + CHUNK]
-        solved.update(_newton(rows, len(member), len(feats), params, {c: models[c] for c in part}))
+        solved.update(_newton(rows, n_codes, len(feats), params, {c: models[c] for c in part}))
 
     coef_rows, lines = [], []
     for c, (dim, name, n, n_bad) in names.items():

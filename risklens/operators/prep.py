@@ -9,7 +9,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from risklens.config import GATES, Roles
 from risklens.operators.segments import SEG, eligible, expand, long_form
-from risklens.operators.small import attach, derived, pin
+from risklens.operators.small import attach, derived, pin, side_by_side
 
 NUMERIC_TEXT_SHARE = 0.8
 
@@ -38,7 +38,7 @@ def label_check(labelled: DataFrame, bad: DataFrame, bad_key: str,
               .when(b == n, "error_all_bad")
               .when((b / m < 0.5) & (b / n >= 0.005), "note_subset")
               .when(b / m < 0.5, "warn_key_mismatch").otherwise("ok"))
-    return (tab.crossJoin(lst)  # one row each
+    return (side_by_side(tab, lst)
             .withColumn("n_outside", m - b)
             .withColumn("hit_rate", F.try_divide(b.cast("double"), m.cast("double")))
             .withColumn("bad_rate", F.try_divide(b.cast("double"), n.cast("double")))
@@ -107,7 +107,7 @@ def supplement_check(before: DataFrame, after: DataFrame, first_column: str) ->
     """One row: rows before and after, matches, and whether the join is usable."""
     a = before.agg(F.count("*").alias("n_before"))
     b = after.agg(F.count("*").alias("n_after"), F.count(first_column).alias("n_matched"))
-    return (a.crossJoin(b)  # one row each
+    return (side_by_side(a, b)
             .withColumn("status", F.when(F.col("n_matched") == 0, "error_no_match")
                         .when(F.col("n_after") != F.col("n_before"), "error_fan_out")
                         .otherwise("ok")))

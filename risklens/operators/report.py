@@ -8,7 +8,7 @@ from risklens.config import ALL, IV, Roles, TAG_DIM
 from risklens.functions import labels
 from risklens.operators.iv import reliability_summary
 from risklens.operators.segments import KEY, SEG, tag_name
-from risklens.operators.small import pin
+from risklens.operators.small import pin, side_by_side
 from risklens.operators.univariate import to_matrix, top_by
 
 RELIABLE_PCT = 50
@@ -45,7 +45,7 @@ def overview(df: DataFrame, roles: Roles, rel: DataFrame) -> DataFrame:
     seg = rel.agg(F.count("*").alias("n_segments"),
                   F.count_if(F.col("reliable_pct") >= RELIABLE_PCT).alias("n_reliable_segments"),
                   F.count_if(F.col("warn")).alias("n_warnings"))
-    return (base.crossJoin(seg)  # one row each
+    return (side_by_side(base, seg)
             .withColumn("bad_rate", F.round(F.col("n_bad") / F.col("n"), 4))
             .withColumn("n_unreliable_segments", F.col("n_segments") - F.col("n_reliable_segments"))
             .withColumn("dims", F.lit(",".join(roles.dims)))

@@ -64,3 +64,11 @@ def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     df = spark.createDataFrame(table, schema=fields)
     df._pinned_rows = len(rows)
     return df
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row tables with different columns as one row."""
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    return out.agg(*[F.first(c, ignorenulls=True).alias(c) for c in out.columns])

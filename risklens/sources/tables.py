@@ -8,22 +8,23 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Encodings tried in order.
 ENCODINGS = ("utf-8", "gbk", "gb18030", "iso-8859-1")
 STANDARD = ("utf-8", "iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32")
-_SAMPLE_BYTES = 1 << 20
+_SAMPLE_LINES = 2_000
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """First encoding that decodes the leading bytes of a file (a byte-order mark means UTF-8)."""
-    head = (spark.read.format("binaryFile").load(path)
-            .select(F.expr(f"substring(content, 1, {_SAMPLE_BYTES})").alias("b")).first())
-    data = bytes(head["b"])
+    """First encoding that decodes the leading lines (a byte-order mark means UTF-8).
+
+    Lines are read as Latin-1, which maps every byte to one character and back, so only the first
+    partition of a file is touched.
+    """
+    lines = spark.read.option("encoding", "iso-8859-1").text(path).limit(_SAMPLE_LINES).collect()
+    data = "\n".join(r["value"] for r in lines).encode("iso-8859-1")
     for enc in ENCODINGS:
         try:
             data.decode("utf-8-sig" if enc == "utf-8" else enc)
             return enc
-        except UnicodeDecodeError as err:
-            # A multi-byte character may be cut at the end of the sample.
-            if len(data) == _SAMPLE_BYTES and err.start > len(data) - 4:
-                return enc
+        except UnicodeDecodeError:
+            continue
     return ENCODINGS[-1]
 
 
