@@ -17,8 +17,9 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     Lines are read as Latin-1, which maps every byte to one character and back, so only the first
     partition of a file is touched.
     """
-    lines = spark.read.option("encoding", "iso-8859-1").text(path).limit(_SAMPLE_LINES).collect()
-    data = "\n".join(r["value"] for r in lines).encode("iso-8859-1")
+    raw = spark.read.schema("value string").options(encoding="iso-8859-1", sep="\x01", quote="")
+    lines = raw.csv(path).limit(_SAMPLE_LINES).collect()
+    data = "\n".join(r["value"] or "" for r in lines).encode("iso-8859-1")
     for enc in ENCODINGS:
         try:
             data.decode("utf-8-sig" if enc == "utf-8" else enc)
