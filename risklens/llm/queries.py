@@ -45,3 +45,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(stats, model).select(
         "doc_id", F.coalesce(bucket() == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import pieces, token_count
+    return token_count.counts(documents(spark, sf_dir), pieces.default_model())
+
+
+@query("op5_sentencepiece")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import pieces
+    return pieces.encode(documents(spark, sf_dir), pieces.default_model())
