@@ -57,3 +57,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import pieces
     return pieces.encode(documents(spark, sf_dir), pieces.default_model())
+
+
+@query("op1_mix_sources")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import mixing
+    return mixing.taken(documents(spark, sf_dir))
