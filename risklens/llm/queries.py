@@ -63,3 +63,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import mixing
     return mixing.taken(documents(spark, sf_dir))
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import near_dedup
+    return near_dedup.groups(documents(spark, sf_dir), words=2, similarity=0.8).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
