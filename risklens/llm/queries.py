@@ -71,3 +71,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(documents(spark, sf_dir), words=2, similarity=0.8).select(
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+@query("op6_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, words, UNNEST(range(1, len(words) - 18)) AS pos FROM d WHERE len(words) >= 20),
+k AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 19], ' ') AS run FROM s),
+g AS (SELECT doc_id, pos, ROW_NUMBER() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM k),
+gone AS (SELECT DISTINCT doc_id, UNNEST(range(pos, pos + 20)) AS i FROM g WHERE nth > 1),
+w AS (SELECT doc_id, UNNEST(words) AS word, UNNEST(range(1, len(words) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, COUNT(*) AS n
+         FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import substring_dedup
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
