@@ -87,3 +87,9 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import substring_dedup
     return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import fingerprints
+    return fingerprints.fingerprints(documents(spark, sf_dir))
