@@ -93,3 +93,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import fingerprints
     return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+@query("op9_private_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import private_data
+    return private_data.find(documents(spark, sf_dir))
