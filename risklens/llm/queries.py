@@ -99,3 +99,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import private_data
     return private_data.find(documents(spark, sf_dir))
+
+
+@query("op3_language_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import language_model
+    return language_model.scores(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
