@@ -74,7 +74,7 @@ def statistics(column) -> np.ndarray:
     symbol = (kind & 8) > 0
     run = symbol.copy()
     run[1:] &= w.data[1:] == w.data[:-1]
-    run[:1] = False
+    run[w.offsets[:-1][size > 0]] = False
     doc = w.doc_of()
     length = (w.end - w.start).astype(float)
     words = w.counts.astype(float)
@@ -109,7 +109,7 @@ def statistics(column) -> np.ndarray:
         longest_line = np.zeros(n)
         np.maximum.at(longest_line, line_doc, count)
     else:
-        repeated, longest_line, n_lines = np.zeros(n), np.zeros(n), np.zeros(n)
+        repeated, longest_line, n_lines = np.zeros(n), np.zeros(n), np.ones(n)
     return np.column_stack([
         np.log1p(size), np.log1p(words), mean, sd, np.log1p(longest), share((kind & 1) > 0),
         share((kind & 2) > 0), share((kind & 4) > 0), share(symbol), share(run), share((kind & 16) > 0),
