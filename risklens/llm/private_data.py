@@ -7,7 +7,8 @@ gazetteer of known values, the words around it, and its shape. Votes are counted
 there are at most 4 x 81 different ones, and expectation-maximisation on these counts estimates how
 reliable each labeler is for each kind. The resulting probabilities are the soft labels of a span
 classifier, a logistic regression whose gradients and Hessians partitions sum up. Candidates that it
-gives at least ``ACCEPT`` are added unless they overlap a base span or a more probable candidate.
+gives at least ``ACCEPT``, and for which the gazetteer or the context speaks, are added unless they
+overlap a base span or a more probable candidate.
 
 Null text counts as empty and has no spans. Offsets are code points, ends exclusive. Rows that repeat
 a doc_id are searched one by one.
@@ -98,24 +99,28 @@ def base_matches(text: str) -> list[tuple[int, int, int, bool]]:
     return out
 
 
-def candidates(text: str, matches: list[tuple[int, int, int, bool]]) -> list[tuple[int, int, int, bool]]:
-    """Base matches and looser candidates; of the numbers that fail, those of 12 digits and more."""
-    out = [m for m in matches if m[3] or m[0] != 2 or len(_digits(text[m[1]:m[2]])) >= 12]
+def candidates(text: str, matches: list[tuple[int, int, int, bool]]) -> list[tuple[int, int, int, int]]:
+    """Base matches and looser candidates with the vote of their pattern.
+
+    A match that passes its check has 1, one that fails -1, a looser candidate 0. Of the numbers that
+    fail, those of 12 digits and more are candidates.
+    """
+    out = [(*m[:3], 1 if m[3] else -1) for m in matches if m[3] or m[0] != 2 or len(_digits(text[m[1]:m[2]])) >= 12]
     if matches or _DIGIT.search(text):
-        out += [(3, m.start(), m.end(), False) for m in _NATIONAL.finditer(text)]
+        out += [(3, m.start(), m.end(), 0) for m in _NATIONAL.finditer(text)]
         if ":" in text:
-            out += [(1, m.start(), m.end(), False) for m in _GROUPS.finditer(text)]
+            out += [(1, m.start(), m.end(), 0) for m in _GROUPS.finditer(text)]
     for m in _AT.finditer(text):
         start = m.start()
         while start > 0 and text[start - 1] in _MAIL_CHARS:
             start -= 1
         host = _HOST.match(text, m.end()) if start < m.start() else None
         if host:
-            out.append((0, start, host.end(), False))
+            out.append((0, start, host.end(), 0))
     return out
 
 
-def votes(text: str, kind: int, start: int, end: int, passed: bool) -> tuple[int, int, int, int]:
+def votes(text: str, kind: int, start: int, end: int, pattern: int) -> tuple[int, int, int, int]:
     """Votes of pattern, gazetteer, context and shape: 1 yes, -1 no, 0 nothing."""
     span, name = text[start:end], KINDS[kind]
     digits = _digits(span)
@@ -140,7 +145,7 @@ def votes(text: str, kind: int, start: int, end: int, passed: bool) -> tuple[int
     cue = any(w.startswith(CUES[name]) and len(w) <= 9 for w in words)
     against = any(a in before for a in AGAINST) or text[start - 1:start].isalnum() or text[end:end + 1].isalnum()
     context = -1 if against else 1 if cue else 0
-    return 1 if passed else -1, known, context, shape
+    return pattern, known, context, shape
 
 
 def features(text: str, kind: int, start: int, end: int, vote: tuple[int, int, int, int]) -> list[float]:
@@ -151,10 +156,10 @@ def features(text: str, kind: int, start: int, end: int, vote: tuple[int, int, i
     return [1.0, *[float(kind == k) for k in range(4)], min(n, 64) / 32, len(digits) / n,
             sum(c in " -.()" for c in span) / n, float(_luhn(digits)) if digits else 0.0, min(len(digits), 24) / 12,
             float(not left or left.isspace()), float(not right or right.isspace() or right in ".,;)"),
-            *[float(v) for v in vote[1:]], float(span.startswith("+")), float("@" in span)]
+            *[float(v) for v in vote[1:]]]
 
 
-N_FEATURES = 17
+N_FEATURES = 15
 
 
 def _spans_text(spans: list[tuple[int, int, int]]) -> str:
@@ -199,8 +204,9 @@ def _searched(docs: DataFrame) -> DataFrame:
 def reliabilities(counts: dict[tuple[int, ...], int]) -> dict[tuple[int, ...], float]:
     """Probability of each (kind, votes) by expectation-maximisation on their counts.
 
-    Within a kind, labelers vote independently given the truth; what a labeler votes if the truth is yes
-    or no is estimated with a start that trusts the pattern most.
+    Within a kind, labelers vote independently given the truth, and no vote says nothing. How often a
+    labeler's vote is yes if the truth is yes, and if it is no, is estimated from a start that trusts
+    the pattern most.
     """
     out: dict[tuple[int, ...], float] = {}
     for kind in range(len(KINDS)):
@@ -209,19 +215,18 @@ def reliabilities(counts: dict[tuple[int, ...], int]) -> dict[tuple[int, ...], f
             continue
         vote = np.array([v for v, _ in seen])
         n = np.array([c for _, c in seen], dtype=float)
-        # rate[labeler, truth, vote + 1]
-        rate = np.full((4, 2, 3), 1 / 3)
-        for labeler, trust in enumerate((0.9, 0.7, 0.65, 0.7)):
-            rate[labeler] = [[trust - 0.05, 0.1, 0.95 - trust], [0.95 - trust, 0.1, trust - 0.05]]
+        # yes[labeler, truth]: share of votes that are yes.
+        yes = np.array([[1 - trust, trust] for trust in (0.9, 0.7, 0.65, 0.7)])
         prior = 0.5
         for _ in range(EM_STEPS):
-            yes, no = (np.prod([rate[j, t, vote[:, j] + 1] for j in range(4)], axis=0) for t in (1, 0))
-            p = prior * yes / np.maximum(prior * yes + (1 - prior) * no, 1e-300)
+            like = [np.prod([np.where(vote[:, j] == 0, 1.0, np.where(vote[:, j] > 0, yes[j, t], 1 - yes[j, t]))
+                             for j in range(4)], axis=0) for t in (0, 1)]
+            p = prior * like[1] / (prior * like[1] + (1 - prior) * like[0])
             prior = float(np.clip((n @ p + 1) / (n.sum() + 2), 0.01, 0.99))
-            for j, value in product(range(4), range(3)):
-                at = vote[:, j] + 1 == value
-                rate[j, 1, value] = (n[at] @ p[at] + 0.5) / (n @ p + 1.5)
-                rate[j, 0, value] = (n[at] @ (1 - p[at]) + 0.5) / (n @ (1 - p) + 1.5)
+            for j, t in product(range(4), range(2)):
+                weight = n * (p if t else 1 - p)
+                cast = vote[:, j] != 0
+                yes[j, t] = (weight[vote[:, j] > 0].sum() + (0.7 if t else 0.3)) / (weight[cast].sum() + 1)
         out |= {(kind, *map(int, v)): float(x) for v, x in zip(vote, p)}
     return out
 
@@ -273,16 +278,17 @@ def find(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             added, text = [], []
-            for base, spans, inputs in zip(*(b.column(i) for i in (6, 7, 8))):
+            for base, spans, cast, inputs in zip(*(b.column(i) for i in (6, 7, 8, 9))):
                 base = np.array(base.values.to_numpy()).reshape(-1, 3)
                 spans = np.array(spans.values.to_numpy()).reshape(-1, 3)
                 held = [tuple(map(int, s)) for s in base]
                 n = len(held)
                 if len(spans):
+                    cast = np.array(cast.values.to_numpy()).reshape(-1, 4)
                     p = 1 / (1 + np.exp(-np.clip(np.array(inputs.values.to_numpy()).reshape(-1, N_FEATURES) @ weights, -30, 30)))
                     for i in np.lexsort((spans[:, 1], spans[:, 0], -np.round(p, 9))):
                         k, s, e = map(int, spans[i])
-                        if p[i] >= ACCEPT and not any(s < y and x < e for _, x, y in held):
+                        if p[i] >= ACCEPT and (cast[i, 1:3] > 0).any() and not any(s < y and x < e for _, x, y in held):
                             held.append((k, s, e))
                 added.append(len(held) - n)
                 text.append(_spans_text(held))
@@ -290,5 +296,5 @@ def find(docs: DataFrame) -> DataFrame:
                                              [*b.schema.names[:6], "n_added", "spans"])
     kind = table.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return (table.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "spans", "features")
+    return (table.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "spans", "votes", "features")
             .mapInArrow(run, f"doc_id {kind}, {counts}, base_sha256 string, n_added long, spans string"))
