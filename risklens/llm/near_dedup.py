@@ -35,7 +35,7 @@ HASHES, BANDS, ROWS = 256, 40, 5
 SLACK = 6.0
 SLACK_SEARCH = 4.0
 BLOCK = 1024
-TRIES = 16
+TRIES = 8
 
 
 def shingles(column, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,21 +171,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(run, "a long, b long")
 
 
-def _searched(members: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and have the most alike signatures."""
+def _searched(members: DataFrame, labels: DataFrame, earlier: DataFrame | None, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and have the most alike signatures.
+
+    ``earlier`` are the labels of the search before: only pairs of which one has a new label are
+    looked at, the others were.
+    """
     floor = similarity - SLACK_SEARCH * np.sqrt(similarity * (1 - similarity) / HASHES)
+    if earlier is None:
+        labels = labels.withColumn("fresh", F.lit(True))
+    else:
+        old = earlier.select("node", F.col("label").alias("old"))
+        labels = labels.join(old, "node", "left").withColumn("fresh", ~F.col("label").eqNullSafe(F.coalesce("old", "node"))).drop("old")
     labelled = (members.select("key", "node").join(labels, "node", "left")
-                .withColumn("label", F.coalesce("label", "node")))
-    mixed = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-             .where("lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+                .withColumns({"label": F.coalesce("label", "node"), "fresh": F.coalesce("fresh", F.lit(earlier is None))}))
+    mixed = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"),
+                                         F.bool_or("fresh").alias("fresh"))
+             .where("lo != hi and fresh").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     rows = labelled.join(mixed, "key").join(sets.select("node", "sig"), "node")
     own = F.pmod(F.hash("node"), "blocks")
     rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
-            .select("key", "one", "two", "own", "node", "label", "sig"))
+            .select("key", "one", "two", "own", "node", "label", "fresh", "sig"))
 
     def search(group: pa.Table) -> pa.Table:
-        node, label, own = (group[c].to_numpy() for c in ("node", "label", "own"))
+        node, label, own, fresh_label = (group[c].to_numpy() for c in ("node", "label", "own", "fresh"))
         sig = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
         across = group["one"][0].as_py() != group["two"][0].as_py()
         names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
@@ -196,6 +206,8 @@ def _searched(members: DataFrame, labels: DataFrame, sets: DataFrame, similarity
             other = (label != label[i]) & (largest | (node > node[i]))
             if across:
                 other &= own != own[i]
+            if not fresh_label[i]:
+                other &= fresh_label
             other = np.flatnonzero(other)
             alike = (sig[other] == sig[i]).mean(axis=1)
             near = alike >= floor
@@ -240,13 +252,13 @@ def groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFram
     sets = written(_sets(docs, wanted, words))
     pairs = members.where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = written(_confirmed(pairs, sets, similarity))
-    labels = components(links)
+    labels, earlier = components(links), None
     while True:
-        more = written(_confirmed(_searched(members, labels, sets, similarity), sets, similarity))
-        if not more.limit(1).count():
+        more = written(_confirmed(_searched(members, labels, earlier, sets, similarity), sets, similarity))
+        if more.isEmpty():
             break
         links = more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = components(links)
+        earlier, labels = labels, components(links)
     labelled = (classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
                 .select(*same, "label", "doc_id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node").alias("best")))
     best = labelled.groupBy("label").agg(F.min("best").alias("best"))
