@@ -2,47 +2,73 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Encodings tried in order.
 ENCODINGS = ("utf-8", "gbk", "gb18030", "iso-8859-1")
 STANDARD = ("utf-8", "iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32")
-_SAMPLE_LINES = 2_000
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines read as Latin-1, which maps every byte to one character and back."""
+    raw = spark.read.schema("value string").options(encoding="iso-8859-1", sep="\x01", quote="", escape="")
+    return raw.csv(path).where("value is not null")
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """First encoding that decodes the leading lines (a byte-order mark means UTF-8).
+    """First encoding that decodes every line of every file; a byte-order mark means UTF-8.
 
-    Lines are read as Latin-1, which maps every byte to one character and back, so only the first
-    partition of a file is touched.
+    One pass: each partition says which encodings decode all its lines. The last encoding decodes
+    any bytes.
     """
-    raw = spark.read.schema("value string").options(encoding="iso-8859-1", sep="\x01", quote="")
-    lines = raw.csv(path).limit(_SAMPLE_LINES).collect()
-    data = "\n".join(r["value"] or "" for r in lines).encode("iso-8859-1")
-    for enc in ENCODINGS:
-        try:
-            data.decode("utf-8-sig" if enc == "utf-8" else enc)
-            return enc
-        except UnicodeDecodeError:
-            continue
-    return ENCODINGS[-1]
+    def verdicts(batches):
+        good = [True] * len(ENCODINGS)
+        for b in batches:
+            data = "\n".join(x for x in b.column(0).to_pylist()).encode("iso-8859-1")
+            for i, enc in enumerate(ENCODINGS):
+                if good[i]:
+                    try:
+                        data.decode(enc)
+                    except UnicodeDecodeError:
+                        good[i] = False
+        yield pa.RecordBatch.from_arrays([pa.array([g]) for g in good], [f"e{i}" for i in range(len(good))])
+
+    flags = [f"e{i}" for i in range(len(ENCODINGS))]
+    table = _raw_lines(spark, path).mapInArrow(verdicts, ", ".join(f"{f} boolean" for f in flags))
+    row = table.agg(*[F.bool_and(f).alias(f) for f in flags]).first()
+    return next(e for e, f in zip(ENCODINGS, flags) if row[f] is not False)
+
+
+def _decoded_lines(spark: SparkSession, path: str, encoding: str):
+    """Lines of files in an encoding that the CSV reader doesn't know, as text."""
+    def decode(batches):
+        for b in batches:
+            text = [x.encode("iso-8859-1").decode(encoding, "replace") for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string())], ["value"])
+    return _raw_lines(spark, path).mapInArrow(decode, "value string").rdd.map(lambda r: r[0])
 
 
 def read_csv(spark: SparkSession, path: str, *, keys: tuple[str, ...] = (),
              encoding: str | None = None, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with header; key columns always stay text, so leading zeros survive."""
+    """CSV with header; key columns always stay text, so leading zeros survive.
+
+    Without ``encoding`` all bytes are looked at first; bytes that a given encoding can't decode
+    become replacement characters. Quoted line breaks are not supported.
+    """
     enc = encoding or detect_encoding(spark, path)
-    if enc.lower() not in STANDARD:
-        # The reader accepts other Java charsets only under this session setting.
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = spark.read.option("header", True).option("encoding", enc)
+    known = enc.lower() in STANDARD
+    source = path if known else _decoded_lines(spark, path, enc)
+    reader = spark.read.option("header", True)
+    if known:
+        reader = reader.option("encoding", enc)
     if schema is None:
-        guessed = reader.option("inferSchema", True).csv(path).schema
-        schema = StructType([StructField(f.name, StringType()) if f.name.lstrip("﻿") in keys
+        guessed = reader.option("inferSchema", True).csv(source).schema
+        schema = StructType([StructField(f.name, StringType()) if f.name.lstrip("\ufeff") in keys
                              else f for f in guessed.fields])
-    out = reader.schema(schema).csv(path)
-    return out.toDF(*[c.lstrip("﻿") for c in out.columns])
+    out = reader.schema(schema).csv(source)
+    return out.toDF(*[c.lstrip("\ufeff") for c in out.columns])
 
 
 def read_table(spark: SparkSession, path: str, **kw) -> DataFrame:

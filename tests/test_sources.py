@@ -38,3 +38,35 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     same = a.orderBy(F.desc("id")).select("x", "id")
     assert T.fingerprint(a).first() == T.fingerprint(same).first()
     assert T.fingerprint(a).first() != T.fingerprint(a.withColumn("x", F.col("x") + (F.col("id") == 5).cast("int"))).first()
+
+
+def test_late_bytes_decide_the_encoding(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    plain = "id,name\n" + "".join(f"{i:05d},plain\n" for i in range(2500))
+    with open(f"{folder}/late.csv", "w", encoding="gbk") as f:
+        f.write(plain + "99999,大型\n")
+    assert T.detect_encoding(spark, f"{folder}/late.csv") == "gbk"
+    legacy = spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    rows = T.read_csv(spark, f"{folder}/late.csv", keys=("id",))
+    assert rows.count() == 2501 and rows.where("id = '99999'").first().name == "大型"
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", None) == legacy
+
+
+def test_all_files_of_a_folder_decide_the_encoding(spark):
+    import os
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/two"
+    os.mkdir(folder)
+    for name, text, enc in (("a", "id,name\n1,plain\n", "utf-8"), ("b", "id,name\n2,大型\n", "gbk")):
+        with open(f"{folder}/{name}.csv", "w", encoding=enc) as f:
+            f.write(text)
+    assert T.detect_encoding(spark, folder) == "gbk"
+    assert {r.name for r in T.read_csv(spark, folder).collect()} == {"plain", "大型"}
+
+
+def test_bytes_that_nothing_decodes_are_read(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(f"{folder}/odd.csv", "wb") as f:
+        f.write(b"id,name\n1,\x81\xff\x00x\n2,caf\xe9\n")
+    assert T.detect_encoding(spark, f"{folder}/odd.csv") == "iso-8859-1"
+    assert T.read_csv(spark, f"{folder}/odd.csv").count() == 2
+    assert T.read_csv(spark, f"{folder}/odd.csv", encoding="utf-8").count() == 2
