@@ -343,15 +343,20 @@ def calc_scan(calc: Column) -> dict[str, Column]:
 CHECK_ORDER = ("schema", "naming", "fields", "calc_logic", "dedup")
 
 
-def roll_up(proposals: DataFrame, checks: dict[str, DataFrame], key: str = "ind_code") -> DataFrame:
-    """First failing check of every proposal; ``checks`` maps a name to (key, passed, n_warnings)."""
-    out = proposals.select(key)
-    for name in CHECK_ORDER:
-        if name in checks:
+def roll_up(proposals: DataFrame, checks: dict[str, DataFrame | tuple[Column, Column]], key: str = "ind_code") -> DataFrame:
+    """First failing check of every proposal.
+
+    ``checks`` maps a name to (passed, warnings) as columns of ``proposals``, all computed in one
+    projection, or to a table (key, passed, n_warnings) that is joined.
+    """
+    used = [n for n in CHECK_ORDER if n in checks]
+    on_row = {n: c for n, c in checks.items() if isinstance(c, tuple)}
+    out = proposals.select(key, *[x.alias(f"_{k}_{n}") for n, c in on_row.items() for k, x in zip("pw", c)])
+    for name in used:
+        if name not in on_row:
             c = checks[name]
             warn = F.col("n_warnings") if "n_warnings" in c.columns else F.lit(0)
             out = out.join(c.select(key, F.col("passed").alias(f"_p_{name}"), warn.alias(f"_w_{name}")), key, "left")
-    used = [n for n in CHECK_ORDER if n in checks]
     failed = [F.when(~F.coalesce(f"_p_{n}", F.lit(True)), n) for n in used]
     warns = sum((F.coalesce(f"_w_{n}", F.lit(0)) for n in used[1:]), F.coalesce(f"_w_{used[0]}", F.lit(0)))
     return out.select(key, F.coalesce(*failed).alias("rejected_at"),
@@ -448,48 +453,74 @@ def code_name_pairs(registry: DataFrame) -> DataFrame:
     return active(registry).select("ind_code", "ind_name")
 
 
-def scd2_merge(registry: DataFrame, batch: DataFrame, batch_id: str, today: str,
-               order: str | None = None) -> DataFrame:
-    """The registry after a batch, with the ``action`` taken on each row of this batch.
+def _steps(registry: DataFrame, batch: DataFrame, batch_id: str, today: str, order: str | None) -> DataFrame:
+    """Open rows and batch records by code in the order they take effect.
 
-    New codes open version 1, a change in a business field closes the open version and opens the
-    next one, anything else updates the soft fields in place. One join on the code; a code that
-    occurs twice in a batch counts once (by ``order``, last wins).
+    Columns: ``r`` (the row), seq (0 for the open row, then the batch in ``order``), version group and
+    step (kept, inserted, new_version, soft_update). A record is compared with the one before it,
+    which by then has the same business fields as the open version. Codes that repeat in a batch
+    need an ``order`` without ties; otherwise the query fails.
     """
     cols = registry.columns
-    if order:
-        batch = one_per_key(batch, "ind_code", [F.col(order)], largest=True)
     have = set(batch.columns)
     types = {f.name: f.dataType for f in registry.schema.fields}
-    given = {"batch_id": F.lit(batch_id), "exp_dt": F.lit(OPEN), "eff_dt": F.lit(today)}
-    new = batch.select(*[given.get(c, F.col(c) if c in have else F.lit(None)).cast(types[c]).alias(f"n_{c}")
-                         for c in cols])
-    old = active(registry).select(*[F.col(c).alias(f"o_{c}") for c in cols])
-    past = registry.where(F.col("exp_dt") != OPEN)
-    used = past.groupBy(F.col("ind_code").alias("h_code")).agg(F.max("ind_version").alias("h_version"))
-    both = (old.join(new, F.col("o_ind_code") == F.col("n_ind_code"), "full")
-            .join(used, F.col("n_ind_code") == F.col("h_code"), "left"))
+    given = {"batch_id": F.lit(batch_id), "exp_dt": F.lit(OPEN)}
+    new = batch.select(F.struct(*[given.get(c, F.col(c) if c in have else F.lit(None)).cast(types[c]).alias(c) for c in cols]).alias("r"),
+                       F.lit(1).alias("rank"), (F.col(order) if order else F.lit(0)).alias("order"))
+    old = active(registry).select(F.struct(*cols).alias("r"), F.lit(0).alias("rank"), F.lit(None).cast(new.schema["order"].dataType).alias("order"))
+    by_code = Window.partitionBy("r.ind_code").orderBy("rank", "order")
+    before = F.lag(F.struct("r", "rank", "order")).over(by_code)
     changed = F.lit(False)
     for c in BUSINESS:
         if c in cols:
-            changed = changed | ~F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
-    action = (F.when(F.col("n_ind_code").isNull(), "kept").when(F.col("o_ind_code").isNull(), "inserted")
-              .when(changed, "new_version").otherwise("soft_update"))
-    both = both.withColumn("action", action)
-
-    def row(pick) -> Column:
-        return F.struct(*[pick(c).cast(types[c]).alias(c) for c in cols])
-
-    closed = row(lambda c: F.lit(today) if c == "exp_dt" else F.col(f"o_{c}"))
-    same = row(lambda c: F.when(F.col("action") == "soft_update", F.col(f"n_{c}")).otherwise(F.col(f"o_{c}"))
-               if c in SOFT else F.col(f"o_{c}"))
-    version = F.coalesce(F.greatest("o_ind_version", "h_version"), F.lit(0)) + 1
-    opened = row(lambda c: version if c == "ind_version" else F.col(f"n_{c}"))
-    tag = lambda s, a: F.struct(s.alias("r"), a.alias("action"))
-    pieces = (F.when(F.col("action") == "new_version", F.array(tag(closed, F.lit("closed")), tag(opened, F.col("action"))))
-              .when(F.col("action") == "inserted", F.array(tag(opened, F.col("action"))))
-              .otherwise(F.array(tag(same, F.col("action")))))
-    current = both.select(F.explode(pieces).alias("x")).select("x.r.*", "x.action")
+            changed = changed | ~F.col(f"before.r.{c}").eqNullSafe(F.col(f"r.{c}"))
+    tie = (F.col("before.rank") == 1) & F.col("before.order").eqNullSafe(F.col("order"))
+    step = (F.when(tie, F.raise_error(F.concat(F.lit("code repeats in the batch without an order: "), F.col("r.ind_code"))))
+            .when(F.col("rank") == 0, "kept").when(F.col("before").isNull(), "inserted").when(changed, "new_version").otherwise("soft_update"))
+    rows = old.unionByName(new).withColumn("before", before).withColumn("step", step)
+    opens = F.col("step").isin("inserted", "new_version").cast("int")
+    return (rows.withColumn("seq", F.row_number().over(by_code)).withColumn("group", F.sum(opens).over(by_code))
+            .withColumn("opened", F.max(F.struct("group")).over(Window.partitionBy("r.ind_code"))["group"])
+            .select(F.col("r.ind_code").alias("code"), "r", "seq", "group", "opened", "step"))
+
+
+def scd2_merge(registry: DataFrame, batch: DataFrame, batch_id: str, today: str,
+               order: str | None = None) -> DataFrame:
+    """The registry after a batch, with the ``action`` that made each row of it what it is.
+
+    Records take effect one after another: a new code opens version 1 (from its eff_dt, else today), a
+    change in a business field closes the open version and opens the next one today, anything else
+    updates the soft fields in place. ``order`` names the batch column that gives the sequence of
+    records of one code; a code that repeats without one, or with ties in it, fails.
+    """
+    cols, have = registry.columns, set(batch.columns)
+    past = registry.where(F.col("exp_dt") != OPEN)
+    used = past.groupBy(F.col("ind_code").alias("code")).agg(F.max("ind_version").alias("used"))
+    versions = (_steps(registry, batch, batch_id, today, order).groupBy("code", "group", "opened")
+                .agg(F.min_by("r", "seq").alias("first"), F.max_by("r", "seq").alias("last"),
+                     F.min_by("step", "seq").alias("began"), F.max_by("step", "seq").alias("ended"))
+                .join(used, "code", "left"))
+    # Versions opened by this batch go on from the open one, or from the last closed one.
+    base = F.when(F.col("began") == "kept", F.col("first.ind_version"))
+    at = Window.partitionBy("code")
+    versions = versions.withColumn("base", F.coalesce(F.max(base).over(at), F.col("used"), F.lit(0)))
+    mine = F.col("began") != "kept"
+
+    def value(c: str) -> Column:
+        if c == "ind_version":
+            return F.when(mine, F.col("base") + F.col("group")).otherwise(F.col("first.ind_version"))
+        if c == "exp_dt":
+            return F.when(F.col("group") < F.col("opened"), F.lit(today)).otherwise(F.col("first.exp_dt"))
+        if c == "eff_dt":
+            return (F.when(F.col("began") == "inserted", F.coalesce("first.eff_dt", F.lit(today)))
+                    .when(mine, F.lit(today)).otherwise(F.col("first.eff_dt")))
+        if c in SOFT and (c in have or c == "batch_id"):
+            return F.col(f"last.{c}")
+        return F.col(f"first.{c}")
+
+    types = {f.name: f.dataType for f in registry.schema.fields}
+    action = F.when(mine, F.col("began")).when(F.col("opened") > 0, "closed").otherwise(F.col("ended"))
+    current = versions.select(*[value(c).cast(types[c]).alias(c) for c in cols], action.alias("action"))
     return past.withColumn("action", F.lit("kept")).unionByName(current)
 
 
@@ -516,13 +547,14 @@ def snapshot(registry: DataFrame) -> DataFrame:
     return _flat(active(registry), registry.columns)
 
 
-def register(registry: DataFrame, proposals: DataFrame, batch_id: str, today: str) -> tuple[DataFrame, DataFrame]:
-    """Merge the proposals that did not fail verification: (registry, counts by action)."""
+def register(registry: DataFrame, proposals: DataFrame, batch_id: str, today: str,
+             order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merge the proposals that did not fail verification: (registry, counts of records by action)."""
     failed = F.coalesce(F.col("verification_status").isin("FAIL", "SQL_ERROR"), F.lit(False))
     good = proposals.where(~failed).withColumn("lifecycle_status", F.lit("ACTIVE"))
-    merged = scd2_merge(registry, good, batch_id, today)
-    acts = merged.where(F.col("action").isin("inserted", "new_version", "soft_update")).groupBy("action").agg(
-        F.count("*").alias("n"))
+    merged = scd2_merge(registry, good, batch_id, today, order)
+    acts = (_steps(registry, good, batch_id, today, order).where("step != 'kept'")
+            .groupBy(F.col("step").alias("action")).agg(F.count("*").alias("n")))
     skipped = proposals.where(failed).agg(F.count("*").alias("n")).select(F.lit("skipped").alias("action"), "n")
     return merged, acts.unionByName(skipped.where("n > 0"))
 

@@ -303,24 +303,21 @@ def calc_scan(ws: Workspace):
 
 def _rolled(ws: Workspace):
     p = proposals(ws)
-    scan = RG.calc_scan(F.col("calc_logic"))
-    known = registry(ws).where("domain = 'FIN'")
-    checks = {"schema": p.select("ind_code", (F.size(RG.schema_errors(p)) == 0).alias("passed")),
-              "naming": p.select("ind_code", (F.size(RG.code_errors(F.col("ind_code"))) == 0).alias("passed")),
-              "fields": RG.check_fields(p, dictionary(ws)),
-              "calc_logic": p.select("ind_code", scan["passed"].alias("passed")),
-              "dedup": RG.check_duplicates(p.where("p_size > 30"), RG.code_name_pairs(known)).select(
+    none = F.lit(0)
+    checks = {"schema": (F.size(RG.schema_errors(p)) == 0, none), "naming": (F.size(RG.code_errors(F.col("ind_code"))) == 0, none),
+              "fields": RG.check_fields(p, dictionary(ws)), "calc_logic": (RG.calc_scan(F.col("calc_logic"))["passed"], none),
+              "dedup": RG.check_duplicates(p, RG.code_name_pairs(registry(ws))).select(
                   "ind_code", (F.col("verdict") != "duplicate").alias("passed"), (F.col("verdict") == "similar").cast("int").alias("n_warnings"))}
     return RG.roll_up(p, checks)
 
 
-ROLL = f"""cb AS (SELECT ind_code, LIST_SORT(LIST_DISTINCT(STRING_SPLIT(LOWER(ind_name), ' '))) AS a FROM prop WHERE p_size > 30),
-eb AS (SELECT DISTINCT LIST_SORT(LIST_DISTINCT(STRING_SPLIT(LOWER(ind_name), ' '))) AS b FROM prop WHERE p_size <= 30 AND domain = 'FIN'),
+ROLL = f"""cb AS (SELECT ind_code, LIST_SORT(LIST_DISTINCT(STRING_SPLIT(LOWER(ind_name), ' '))) AS a FROM prop),
+eb AS (SELECT DISTINCT LIST_SORT(LIST_DISTINCT(STRING_SPLIT(LOWER(ind_name), ' '))) AS b FROM prop WHERE p_size <= 30),
 dd AS (SELECT a, MAX(LEN(LIST_INTERSECT(a, b)) * 100.0 / LEAST(LEN(a), LEN(b))) AS score FROM (SELECT DISTINCT a FROM cb), eb GROUP BY a),
 roll AS (SELECT p.ind_code, CASE WHEN {_serr.replace('priority', 'p.priority')} <> '' THEN 'schema' WHEN n_unknown_fields > 0 OR no_table THEN 'fields'
  WHEN LENGTH(calc_logic) < 5 OR {_forbid} <> '' THEN 'calc_logic' WHEN score >= 85 THEN 'dedup' END AS rejected_at,
  n_unknown_tables + n_odd_fields + CASE WHEN score >= 72.25 AND score < 85 THEN 1 ELSE 0 END AS n_warnings
- FROM prop p JOIN fld USING (ind_code) LEFT JOIN cb USING (ind_code) LEFT JOIN dd USING (a))"""
+ FROM prop p JOIN fld USING (ind_code) JOIN cb USING (ind_code) LEFT JOIN dd USING (a))"""
 ROLLQ = O.with_(PROP, DICT, FLD, ROLL)
 
 
@@ -407,6 +404,35 @@ def scd2_merge(ws: Workspace):
     return rounded(out, ("current_iv",))
 
 
+def _sequence(ws: Workspace):
+    """Every proposal, and for each seventh size a second record that follows it."""
+    p = proposals(ws).withColumn("seq", F.lit(1))
+    again = p.where("p_size % 7 = 0").withColumns({
+        "seq": F.lit(2), "biz_definition": F.concat(F.lit("new "), "biz_definition"), "current_iv": F.col("current_iv") + 1})
+    return p.unionByName(again)
+
+
+SEQUENCE = f"""rep AS (SELECT ind_code, biz_definition AS biz, current_iv + 1 AS iv, p_size, p_type FROM prop WHERE p_size % 7 = 0),
+seq AS (SELECT a.ind_code, ind_version, biz_definition, current_iv, a.priority, eff_dt, CASE WHEN biz IS NOT NULL AND exp_dt = '{OPEN}' THEN '{TODAY}' ELSE exp_dt END AS exp_dt, batch_id,
+ CASE WHEN biz IS NOT NULL AND exp_dt = '{OPEN}' AND action = 'soft_update' THEN 'closed' ELSE action END AS action FROM aft a LEFT JOIN rep USING (ind_code)
+UNION ALL SELECT a.ind_code, ind_version + 1, 'new ' || biz, iv, a.priority, '{TODAY}', '{OPEN}', 'b1', 'new_version' FROM aft a JOIN rep USING (ind_code) WHERE exp_dt = '{OPEN}')"""
+
+
+@query("m21_scd2_sequence", O.with_(PROP, REG, AFTER, SEQUENCE) + f"SELECT ind_code, ind_version, biz_definition, {r('current_iv')}, priority, eff_dt, exp_dt, batch_id, action FROM seq")
+def scd2_sequence(ws: Workspace):
+    out = RG.scd2_merge(registry(ws), _sequence(ws), "b1", TODAY, order="seq").select(
+        "ind_code", "ind_version", "biz_definition", "current_iv", "priority", "eff_dt", "exp_dt", "batch_id", "action")
+    return rounded(out, ("current_iv",))
+
+
+@query("m26_register_sequence", O.with_(PROP, REG, MERGE) + f"""SELECT action, COUNT(*) AS n FROM (SELECT CASE WHEN vstatus = 'FAIL' THEN 'skipped' WHEN r.ind_code IS NULL THEN 'inserted'
+ WHEN r.biz_definition LIKE 'old %' THEN 'new_version' ELSE 'soft_update' END AS action FROM mer p LEFT JOIN (SELECT * FROM reg WHERE exp_dt = '{OPEN}') r USING (ind_code)
+ UNION ALL SELECT CASE WHEN vstatus = 'FAIL' THEN 'skipped' ELSE 'new_version' END FROM mer WHERE p_size % 7 = 0) GROUP BY action""")
+def register_sequence(ws: Workspace):
+    batch = RG.merge_verification(_sequence(ws), response(ws))
+    return RG.register(registry(ws), batch, "b1", TODAY, order="seq")[1]
+
+
 @query("m22_soft_update", AFTERQ + f"SELECT ind_code, ind_version, {r('current_iv')}, priority, batch_id FROM aft WHERE action = 'soft_update'")
 def soft_update(ws: Workspace):
     out = _after(ws).where("action = 'soft_update'").select("ind_code", "ind_version", "current_iv", "priority", "batch_id")

@@ -130,6 +130,26 @@ def test_scd2_replay(spark):
     assert again.ind_version == 3
 
 
+def test_scd2_repeated_codes_take_effect_in_order(spark):
+    schema = ("ind_code string, ind_version int, ind_name string, domain string, current_iv double, "
+              "lifecycle_status string, eff_dt string, exp_dt string, batch_id string")
+    start = spark.createDataFrame([("A", 3, "a", "FIN", 0.1, "ACTIVE", "2023-01-01", RG.OPEN, "b0")], schema)
+    rows = [("A", "a", 0.2, 1), ("A", "a2", 0.3, 2), ("A", "a2", 0.4, 3), ("N", "n", 0.5, 1), ("N", "n", 0.6, 2), ("N", "n3", 0.7, 3)]
+    batch = spark.createDataFrame([(c, n, "FIN", iv, "ACTIVE", "2020-05-05", o) for c, n, iv, o in rows],
+                                  "ind_code string, ind_name string, domain string, current_iv double, lifecycle_status string, eff_dt string, o int")
+    got = {(r.ind_code, r.ind_version): (r.ind_name, r.current_iv, r.eff_dt, r.exp_dt, r.action)
+           for r in RG.scd2_merge(start, batch, "b1", "2024-01-01", order="o").collect()}
+    assert got == {("A", 3): ("a", 0.2, "2023-01-01", "2024-01-01", "closed"),
+                   ("A", 4): ("a2", 0.4, "2024-01-01", RG.OPEN, "new_version"),
+                   ("N", 1): ("n", 0.6, "2020-05-05", "2024-01-01", "inserted"),
+                   ("N", 2): ("n3", 0.7, "2024-01-01", RG.OPEN, "new_version")}
+    checked = batch.withColumn("verification_status", F.lit("SUCCESS"))
+    counts = {r.action: r.n for r in RG.register(start, checked, "b1", "2024-01-01", order="o")[1].collect()}
+    assert counts == {"soft_update": 3, "new_version": 2, "inserted": 1}
+    with pytest.raises(Exception, match="without an order"):
+        RG.scd2_merge(start, batch, "b1", "2024-01-01").collect()
+
+
 def test_code_checks(spark):
     rows = [("FIN_M_DEBT_RATIO_SNAP_RATIO", ""), ("fin_m_x", "pattern,domain,granularity"),
             ("FIN_EVT_X", "pattern"), ("FIN_M_" + "X" * 60, "too_long")]
