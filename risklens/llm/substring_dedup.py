@@ -3,12 +3,15 @@
 Two equal runs of ``WINDOW`` words can lie at any two offsets. ``COVER`` is a difference cover modulo
 ``PERIOD``: whatever the offsets, some k < PERIOD puts both i + k and j + k on cover positions. So both
 runs hold an equal anchor of WINDOW - PERIOD + 1 words at cover positions, and only these positions,
-4 of 13, are hashed and shuffled. Windows around anchors that occur more than once are then extended to
-their full length and compared by 128 bits; every one but the earliest marks its words.
+4 of 13, are hashed and exchanged. Windows around anchors that occur more than once are then extended to
+their full length and compared by 96 bits; every one but the earliest marks its words.
 
-Documents of the same words as an earlier one are settled first by a digest of the sequence: all their
-windows start earlier. Blocks of texts settle what repeats inside them before any shuffle, so a passage
-that a third of all documents share sends one row for each block, not for each document.
+Texts are dealt once into chunks of about ``CHUNK`` bytes. A chunk sends its distinct anchors to shards
+chosen by hash, which answer with one bit each: repeated or not. In the same way it sends its distinct
+windows, each with the document it is first in, and learns which start in an earlier document. A
+passage that a third of all documents share so arrives once from each chunk, and answers go back in the
+order of the requests. Documents of the same words as an earlier one are settled first by a digest of the
+sequence: all their windows start earlier.
 
 Documents are ordered by doc_id, null last, then by a hash of the text; rows equal in both count as one
 document and get equal results. Null text has no words; what has fewer than WINDOW words stays whole.
@@ -17,21 +20,26 @@ document and get equal results. Null text has no words; what has fewer than WIND
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from risklens.llm.language_model import _pack as pack, _unpack as unpack
 from risklens.llm.quality import in_blocks
-from risklens.llm.shared import pick, written
+from risklens.llm.shared import pick, spread, written
 from risklens.llm.words import Words, mix, ngrams
 
 WINDOW = 20
 #: A perfect difference set: the differences of its members are all residues modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+CHUNK = 12 << 20
+#: What becomes of a document, and what a shard's answer is about.
+SHORT, SEARCHED, COPY = 0, 1, 2
+ANCHORS, WINDOWS = 1, 2
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,145 +48,202 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return plain.select("doc_id", "text", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(5), "doc_id", "text").alias("g"))
 
 
-def _blocks(column) -> Iterator[tuple[int, int, Words, np.ndarray]]:
-    """Start and size of each block of texts, its words, and each word's place in its text."""
-    at = 0
-    for block in in_blocks(column):
-        w = Words(block)
-        place = np.arange(len(w.hash)) - np.repeat(w.first[:-1], w.counts)
-        yield at, len(block), w, place
-        at += len(block)
-
-
 def _sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, g, n, d1, d2): number and digest of the words in their order."""
+    """(doc_id, h, g, n, size, d1, d2): number, bytes and digest of the words in their order."""
     def run(batches):
         for b in batches:
-            for at, size, w, place in _blocks(b.column(3)):
+            at = 0
+            for block in in_blocks(b.column(3)):
+                w, n = Words(block), len(block)
+                place = (np.arange(len(w.hash)) - np.repeat(w.first[:-1], w.counts)).astype(np.uint64)
                 sums = []
                 for s in (3, 4):
-                    part = mix(w.hash + (place.astype(np.uint64) * np.uint64(2 * s + 1) << np.uint64(8)) + np.uint64(s))
+                    part = mix(w.hash + (place * np.uint64(2 * s + 1) << np.uint64(8)) + np.uint64(s))
                     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part)])
                     sums.append(pa.array((total[w.first[1:]] - total[w.first[:-1]]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*[b.column(i).slice(at, size) for i in range(3)],
-                                                  pa.array(w.counts.astype(np.int64)), *sums],
-                                                 ["doc_id", "h", "g", "n", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([*[b.column(i).slice(at, n) for i in range(3)], pa.array(w.counts.astype(np.int64)),
+                                                  pa.array(np.diff(w.offsets)), *sums], ["doc_id", "h", "g", "n", "size", "d1", "d2"])
+                at += n
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "h", "g", "text").mapInArrow(run, f"doc_id {kind}, h long, g long, n long, d1 long, d2 long")
+    return docs.select("doc_id", "h", "g", "text").mapInArrow(
+        run, f"doc_id {kind}, h long, g long, n long, size long, d1 long, d2 long")
 
 
-def _anchors(texts: DataFrame) -> DataFrame:
-    """(hash, no, pos, weight) of (no, text); weight 2 stands for several in a block, 0 for those it stands for."""
-    def run(batches):
-        for b in batches:
-            for at, size, w, place in _blocks(b.column(1)):
-                no = b.column(0).slice(at, size).to_numpy(zero_copy_only=False)
-                doc = w.doc_of()
-                where = np.flatnonzero(np.isin(place % PERIOD, COVER) & (place <= w.counts[doc] - ANCHOR))
-                hashes = ngrams(w.hash, ANCHOR)[where]
-                doc, pos = no[doc[where]], place[where]
-                order = np.argsort(hashes, kind="stable")
-                hashes, doc, pos = hashes[order], doc[order], pos[order]
-                fresh = np.ones(len(hashes), dtype=bool)
-                fresh[1:] = hashes[1:] != hashes[:-1]
-                first = np.flatnonzero(fresh)
-                weight = np.zeros(len(hashes), dtype=np.int64)
-                weight[first] = np.minimum(np.diff(np.append(first, len(hashes))), 2)
-                known = weight == 0
-                hashes[known] = mix(doc[known].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pos[known].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(doc), pa.array(pos), pa.array(weight)],
-                                                 ["hash", "no", "pos", "weight"])
-    return texts.mapInArrow(run, "hash long, no long, pos long, weight long")
-
-
-def _windows(texts: DataFrame) -> DataFrame:
-    """(w1, w2, no, pos, known) of (no, text, anchors): windows that hold a repeated anchor.
-
-    ``known`` marks windows that start earlier in the same block; their hashes are only spread.
+class _Chunk:
+    """Searched documents of a chunk in their order, and their anchors by shard.
+
+    ``right`` has the status rows of the chunk's documents and the answers so far.
     """
-    def run(batches):
-        for b in batches:
-            for at, size, w, place in _blocks(b.column(1)):
-                no = b.column(0).slice(at, size).to_numpy(zero_copy_only=False)
-                lists = b.column(2).slice(at, size)
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
-                hit = np.zeros(len(w.hash) + 1, dtype=bool)
-                hit[np.repeat(w.first[:-1], lengths) + flat] = True
-                near = hit[:-1].copy()
-                for k in range(1, PERIOD):
-                    near[:-k] |= hit[k:-1]
-                doc = w.doc_of()
-                where = np.flatnonzero(near & (place <= w.counts[doc] - WINDOW))
-                # An anchor of the next text is no anchor of this one: the check of place keeps windows inside.
-                w1 = ngrams(w.hash, WINDOW)[where]
-                w2 = ngrams(mix(w.hash + np.uint64(9)), WINDOW)[where]
-                doc, pos = no[doc[where]], place[where]
-                order = np.lexsort((pos, doc, w2, w1))
-                w1, w2, doc, pos = w1[order], w2[order], doc[order], pos[order]
-                fresh = np.ones(len(w1), dtype=bool)
-                fresh[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
-                first = np.flatnonzero(fresh)
-                lead = np.repeat(first, np.diff(np.append(first, len(w1))))
-                known = ~fresh & ((doc != doc[lead]) | (pos != pos[lead]))
-                w1[known] = mix(doc[known].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pos[known].astype(np.uint64))
-                w2[known] = 0
-                use = fresh | known
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[use]) for x in (w1.view(np.int64), w2.view(np.int64), doc, pos, known)],
-                    ["w1", "w2", "no", "pos", "known"])
-    return texts.mapInArrow(run, "w1 long, w2 long, no long, pos long, known boolean")
-
-
-def _without(docs: DataFrame) -> DataFrame:
-    """Results of (doc_id, text, n, copy, starts): words covered by the windows at ``starts`` go."""
-    def run(batches):
-        for b in batches:
-            removed, digests = [], []
-            for text, n, copy, starts in zip(*(b.column(i) for i in range(1, 5))):
-                n, gone = n.as_py(), 0
-                if copy.as_py():
-                    gone, kept = n, b""
-                else:
-                    words = text.as_buffer().to_pybytes().split()  # bytes split at the six separators only
-                    if starts.is_valid:
-                        at = np.unique(starts.values.to_numpy())
-                        cover = np.zeros(n + 1, dtype=np.int64)
-                        cover[at] += 1
-                        cover[at + WINDOW] -= 1
-                        stay = np.cumsum(cover[:-1]) == 0
-                        gone, words = int(n - stay.sum()), list(compress(words, stay))
-                    kept = b" ".join(words)
-                removed.append(gone)
-                digests.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                                             ["doc_id", "n_words", "n_removed", "kept_sha256"])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+
+    def __init__(self, left: pa.Table, right: pa.Table, shards: int):
+        self.shards = shards
+        rows = {(g, h): (no, state) for g, h, no, state in zip(*(right[c].to_pylist() for c in ("g", "h", "no", "state")))}
+        found = [rows[k] for k in zip(left["g"].to_pylist(), left["h"].to_pylist())]
+        no = np.array([x[0] for x in found])
+        self.state = np.array([x[1] for x in found])
+        mine = np.flatnonzero(self.state == SEARCHED)
+        self.no, first = np.unique(no[mine], return_index=True)
+        self.row_of = {n: i for i, n in enumerate(self.no.tolist())}
+        self.numbers = no
+        w = self.words = Words(left["text"].take(pa.array(mine[first])))
+        self.doc = w.doc_of()
+        self.place = np.arange(len(w.hash)) - np.repeat(w.first[:-1], w.counts)
+        self.at = np.flatnonzero(np.isin(self.place % PERIOD, COVER) & (self.place <= w.counts[self.doc] - ANCHOR))
+        hashes = ngrams(w.hash, ANCHOR)
+        self.anchors, self.which, count = np.unique(hashes[self.at], return_inverse=True, return_counts=True)
+        self.several = count > 1
+        self.order, self.bounds = self.dealt(self.anchors)
+        self.answers = {(k, s): d for k, s, d in zip(*(right[c].to_pylist() for c in ("kind", "shard", "data")))}
+
+    def dealt(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order of sorted keys by shard, and where each shard begins."""
+        shard = (mix(keys) % np.uint64(self.shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        return order, np.searchsorted(shard[order], np.arange(self.shards + 1))
+
+    def answered(self, kind: int, order: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The shards' bits in the order of the keys."""
+        out = np.zeros(len(order), dtype=bool)
+        for s in range(self.shards):
+            i, j = bounds[s], bounds[s + 1]
+            if i < j:
+                bits = np.frombuffer(self.answers[kind, s], dtype=np.uint8)
+                out[order[i:j]] = np.unpackbits(bits, count=j - i).astype(bool)
+        return out
+
+    def windows(self) -> None:
+        """Windows that hold a repeated anchor, grouped; the first of a group is the earliest here."""
+        w = self.words
+        hit = np.zeros(len(w.hash) + PERIOD, dtype=bool)
+        hit[self.at[self.answered(ANCHORS, self.order, self.bounds)[self.which]]] = True
+        near = hit[:len(w.hash)].copy()
+        for k in range(1, PERIOD):
+            near |= hit[k:k + len(w.hash)]
+        # Anchors of the next text do no harm: windows end inside their own.
+        where = np.flatnonzero(near & (self.place <= w.counts[self.doc] - WINDOW))
+        w1 = ngrams(w.hash, WINDOW)[where]
+        w2 = (ngrams(mix(w.hash + np.uint64(9)), WINDOW)[where] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        order = np.lexsort((where, w2, w1))
+        self.start, w1, w2 = where[order], w1[order], w2[order]
+        fresh = np.ones(len(w1), dtype=bool)
+        fresh[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+        self.leader = np.flatnonzero(fresh)
+        self.group = np.cumsum(fresh) - 1
+        self.w1, self.w2 = w1[self.leader], w2[self.leader]
+        self.w_order, self.w_bounds = self.dealt(self.w1)
+
+    def repeated(self) -> dict[int, np.ndarray]:
+        """Starts of repeated windows of each document, by its number."""
+        self.windows()
+        gone = self.answered(WINDOWS, self.w_order, self.w_bounds)[self.group]
+        later = np.ones(len(self.start), dtype=bool)
+        later[self.leader] = False
+        at = np.sort(self.start[gone | later])
+        cut = np.searchsorted(self.doc[at], np.arange(len(self.no) + 1))
+        return {n: self.place[at[cut[i]:cut[i + 1]]] for n, i in self.row_of.items()}
+
+
+_ASKED = "shard long, chunk long, a binary, b binary, c binary, d binary"
+_STATUS = "chunk long, g long, h long, no long, state int, kind int, shard long, data binary"
+
+
+def _rows(schema: str, rows: list[tuple]) -> pa.Table:
+    """An Arrow table of rows; ``schema`` uses long, int and binary."""
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    return pa.table([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _exchanged(texts: DataFrame, known: DataFrame, shards: int, kind: int) -> DataFrame:
+    """``known`` and the shards' answers about anchors or windows of the chunks."""
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk, rows = _Chunk(left, right, shards), []
+        number = left["chunk"][0].as_py()
+        if kind == WINDOWS:
+            chunk.windows()
+        order, bounds = (chunk.order, chunk.bounds) if kind == ANCHORS else (chunk.w_order, chunk.w_bounds)
+        for s in range(shards):
+            at = order[bounds[s]:bounds[s + 1]]
+            if not len(at):
+                continue
+            if kind == ANCHORS:
+                rows.append((s, number, pack(chunk.anchors[at]), np.packbits(chunk.several[at]).tobytes(), b"", b""))
+            else:
+                docs, index = np.unique(chunk.doc[chunk.start[chunk.leader[at]]], return_inverse=True)
+                narrow = np.uint16 if len(docs) <= 1 << 16 else np.uint32
+                rows.append((s, number, pack(chunk.w1[at]), chunk.w2[at].tobytes(), index.astype(narrow).tobytes(), chunk.no[docs].tobytes()))
+        return _rows(_ASKED, rows)
+
+    def answer(table: pa.Table) -> pa.Table:
+        shard, requests = table["shard"][0].as_py(), table.to_pylist()
+        keys = [unpack(r["a"]) for r in requests]
+        bounds = np.cumsum([0, *map(len, keys)])
+        if kind == ANCHORS:
+            several = np.concatenate([np.unpackbits(np.frombuffer(r["b"], dtype=np.uint8), count=len(k)) for r, k in zip(requests, keys)])
+            _, at = np.unique(np.concatenate(keys), return_inverse=True)
+            bits = (np.bincount(at, weights=several + 1) > 1)[at]
+        else:
+            w1, w2 = np.concatenate(keys), np.concatenate([np.frombuffer(r["b"], dtype=np.uint32) for r in requests])
+            no = np.concatenate([np.frombuffer(r["d"], dtype=np.int64)[np.frombuffer(r["c"], dtype=np.uint16 if len(r["c"]) == 2 * len(k) else np.uint32)]
+                                 for r, k in zip(requests, keys)])
+            order = np.lexsort((no, w2, w1))
+            fresh = np.ones(len(order), dtype=bool)
+            fresh[1:] = (w1[order[1:]] != w1[order[:-1]]) | (w2[order[1:]] != w2[order[:-1]])
+            bits = np.zeros(len(order), dtype=bool)
+            bits[order] = ~fresh
+        rows = [(r["chunk"], None, None, None, None, kind, shard, np.packbits(bits[i:j]).tobytes())
+                for r, i, j in zip(requests, bounds[:-1], bounds[1:])]
+        return _rows(_STATUS, rows)
+
+    asked = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(ask, _ASKED)
+    return known.unionByName(asked.groupBy("shard").applyInArrow(answer, _STATUS))
+
+
+def _kept(text: bytes, starts: np.ndarray | None) -> tuple[int, int, str]:
+    """Words, words covered by the windows at ``starts``, and digest of what stays."""
+    words = text.split()  # bytes split at the six separators only
+    n, gone = len(words), 0
+    if starts is not None and len(starts):
+        cover = np.zeros(n + 1, dtype=np.int64)
+        cover[starts] += 1
+        cover[starts + WINDOW] -= 1
+        stay = np.cumsum(cover[:-1]) == 0
+        gone, words = int(n - stay.sum()), compress(words, stay)
+    return n, gone, hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
     texts = _keyed(docs)
+    kind = texts.schema["doc_id"].dataType.simpleString()
     sequences = written(_sequences(texts))
+    chunks = max(1, math.ceil((sequences.agg(F.sum("size")).first()[0] or 0) / CHUNK))
+    shards = max(chunks, spread(docs.sparkSession))
     rank = [F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("h"), F.col("g")]
     first = (sequences.where(F.col("n") >= WINDOW).groupBy("d1", "d2", "n").agg(F.min(F.struct(*rank)).alias("r"))
-             .select(F.col("r.g").alias("g"), F.col("r.h").alias("h"), F.lit(True).alias("first")))
+             .select(F.col("r.g").alias("g"), F.col("r.h").alias("h"), F.lit(SEARCHED).alias("first")))
     # ``no`` numbers documents in their order.
+    chunk = F.pmod(F.col("g"), F.lit(chunks)).alias("chunk")
+    state = F.when(F.col("n") < WINDOW, SHORT).otherwise(F.coalesce("first", F.lit(COPY)))
     status = written(sequences.groupBy("g", "h").agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"))
                      .join(first, ["g", "h"], "left")
                      .orderBy(F.col("doc_id").asc_nulls_last(), "h", "g")
-                     .select("g", "h", "n", F.coalesce("first", F.lit(False)).alias("first"),
-                             F.monotonically_increasing_id().alias("no")))
-    searched = status.where("first").select("g", "h", "no")
-    same = Window.partitionBy("hash")
-    anchors = _anchors(texts.join(searched, ["g", "h"]).select("no", "text"))
-    repeated = (anchors.withColumn("total", F.sum("weight").over(same)).where("weight = 0 or total > 1")
-                .groupBy("no").agg(F.collect_list("pos").alias("anchors")))
-    windows = _windows(texts.join(repeated.join(searched, "no"), ["g", "h"]).select("no", "text", "anchors"))
-    rank = F.rank().over(Window.partitionBy("w1", "w2").orderBy("no", "pos"))
-    starts = (windows.withColumn("rank", rank).where("known or rank > 1")
-              .groupBy("no").agg(F.collect_list("pos").alias("starts")).join(searched, "no").select("g", "h", "starts"))
-    final = (texts.join(status.select("g", "h", "n", (F.expr(f"n >= {WINDOW}") & ~F.col("first")).alias("copy")), ["g", "h"])
-             .join(starts, ["g", "h"], "left").select("doc_id", "text", "n", "copy", "starts"))
-    return _without(final)
+                     .select(chunk, "g", "h", F.monotonically_increasing_id().alias("no"), state.alias("state"),
+                             F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("shard"),
+                             F.lit(None).cast("binary").alias("data")))
+    texts = texts.select(chunk, "doc_id", "g", "h", "text")
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk = _Chunk(left, right, shards)
+        starts, out = chunk.repeated(), []
+        for text, no, state in zip(left["text"], chunk.numbers.tolist(), chunk.state.tolist()):
+            n, gone, digest = _kept(text.as_buffer().to_pybytes(), starts.get(no) if state == SEARCHED else None)
+            out.append((n, n, hashlib.sha256(b"").hexdigest()) if state == COPY else (n, gone, digest))
+        n, gone, digest = zip(*out)
+        return pa.table({"doc_id": left["doc_id"], "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
+                         "kept_sha256": pa.array(digest, pa.string())})
+
+    known = _exchanged(texts, _exchanged(texts, status, shards, ANCHORS), shards, WINDOWS)
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+        finish, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
