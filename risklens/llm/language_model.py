@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from risklens.llm.shared import pick, spread, written
 from risklens.llm.words import Words, mix, pair
 
-CHUNK = 12 << 20
+CHUNK = 9 << 20
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOW = np.uint64(0xFFFFFFFF)
 EXACT, STEP = 64, 1.12
@@ -180,6 +180,7 @@ class _Chunk:
         seen = np.bincount(self.word[self.train], minlength=len(words))
         seen[begin] += int(table["train"].to_numpy().sum())
         keys, self.pair = np.unique((before & ~_LOW) | (pair(before, tokens) & _LOW), return_inverse=True)
+        del before, at, tokens
         seen_pairs = np.bincount(self.pair[self.train], minlength=len(keys))
         self.parts = []
         for kind, values, counts in ((0, words, seen), (1, keys, seen_pairs)):
