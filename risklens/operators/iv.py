@@ -24,15 +24,14 @@ class Binned:
 def adaptive_binning(long: DataFrame, keys: list[str] = KEY, bins: int = IV.bins,
                      min_n: int = GATES.min_n, **sketch_args) -> Binned:
     """Value bins, quantile bins, or mode bin + quantile bins of the rest (first that splits)."""
-    if bins > Q.MAX_K:
-        raise ValueError(f"at most {Q.MAX_K} bins")
+    most = max(bins, Q.MAX_K)
     n, bad = F.col("n"), F.col("n_bad")
-    sk = Q.sketch(long, keys, labels.adaptive_bins(n, bad, bins), **sketch_args)
+    sk = Q.sketch(long, keys, labels.adaptive_bins(n, bad, bins), max_k=most, **sketch_args)
     total_good = F.col("n_rows") - F.col("bad_rows")
     usable = ((total_good > 0) & (F.col("bad_rows") > 0) & (n >= min_n) & (bad > 0)
               & (n - bad > 0))
     good_sk = derived(sk, sk.where(usable))
-    hist = Q.histogram(long, keys, good_sk).persist()
+    hist = Q.histogram(long, keys, good_sk, most - 1).persist()
     ed = pin(Q.edges(hist, keys, good_sk), max_rows=200_000)
     flat = (~F.col("by_value")) & (F.size("edges") <= 2)
 
@@ -53,9 +52,9 @@ def adaptive_binning(long: DataFrame, keys: list[str] = KEY, bins: int = IV.bins
                  .withColumn("kind", F.lit("mode")).withColumn("_bin", F.lit(0.0)))
         rest = attach(long, zero_heavy, keys).where(F.col("x") != F.col("mode_x"))
         rest_k = F.greatest(F.lit(2), F.col("_k") - 1)
-        sk2 = Q.sketch(rest, [*keys, "_k"], rest_k, **sketch_args)
+        sk2 = Q.sketch(rest, [*keys, "_k"], rest_k, max_k=most, **sketch_args)
         sk2 = derived(sk2, sk2.drop("_k"))
-        hist2 = Q.histogram(rest, keys, sk2).persist()
+        hist2 = Q.histogram(rest, keys, sk2, most - 1).persist()
         ed2 = pin(Q.edges(hist2, keys, sk2), max_rows=200_000)
         tail = (attach(hist2, derived(ed2, ed2.select(*keys, "edges", "by_value")), keys)
                 .withColumn("kind", F.lit("tail"))

@@ -24,7 +24,7 @@ from risklens.operators.quantiles import group_median
 from risklens.operators.ranking import auc
 from risklens.operators.segments import (KEY, SEG, clean_double, eligible, long_form, segment_sizes,
                                          skip_reason, tag_name)
-from risklens.operators.small import attach, is_pinned, local, pin
+from risklens.operators.small import attach, local, pin
 
 FOLDS = 5
 MAX_ITER = 50
@@ -138,8 +138,12 @@ _SUM_SCHEMA = StructType([StructField("code", IntegerType()), StructField("model
                           StructField("pos", IntegerType()), StructField("value", DoubleType())])
 
 
-def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: dict) -> dict:
-    """Solve every model; returns {(code, model): weights}, None where a class is missing."""
+def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: dict) -> tuple[dict, dict]:
+    """Solve every model: {(code, model): weights}, None where there are none, and why not.
+
+    Reasons: ``class`` (one class only), ``failed`` (singular or not finite), and ``not_converged`` with
+    the weights of the last step.
+    """
     dim = n_feats + 1
     upper = np.triu_indices(dim)
     ridge = np.r_[np.ones(n_feats), 0.0]
@@ -147,6 +151,7 @@ def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: d
     best: dict = {}
     open_ = set(weights)
     done: dict = {}
+    why: dict = {}
     for _ in range(MAX_ITER):
         state: dict[int, dict[int, np.ndarray]] = {}
         for c, m in open_:
@@ -157,7 +162,7 @@ def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: d
         for (c, m), part in got.groupby(["code", "model"]):
             v = part.sort_values("pos")["value"].to_numpy()
             if v[-2] == 0 or v[-2] == v[-1]:  # one class only
-                done[c, m] = None
+                done[c, m], why[c, m] = None, "class"
                 open_.discard((c, m))
                 continue
             w = weights[c, m]
@@ -169,7 +174,14 @@ def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: d
             hess = np.zeros((dim, dim))
             hess[upper] = v[dim:dim + len(upper[0])]
             hess = hess + np.triu(hess, 1).T + np.diag(ridge)
-            step = np.linalg.solve(hess, grad)
+            try:
+                step = np.linalg.solve(hess, grad)
+            except np.linalg.LinAlgError:
+                step = np.full(dim, np.nan)
+            if not np.isfinite(step).all():
+                done[c, m], why[c, m] = None, "failed"
+                open_.discard((c, m))
+                continue
             best[c, m] = (loss, w)
             weights[c, m] = w - step
             if np.abs(step).max() < TOL:
@@ -178,7 +190,8 @@ def _newton(rows: DataFrame, n_codes: int, n_feats: int, params: dict, models: d
         if not open_:
             break
     done.update({k: weights[k] for k in open_})
-    return done
+    why.update({k: "not_converged" for k in open_})
+    return done, why
 
 
 def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool = True,
@@ -199,8 +212,6 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
     ledger = sizes.withColumn("skip_reason", reason)
     segs = eligible(df, roles, min_n, min_bad, min_good, full_gated=True, n_gate_on_tags=False,
                     **shape)
-    if not is_pinned(segs):
-        raise ValueError("too many segments for one model table; fit fewer dims at a time")
     spec = standardiser(df, roles, segs, **shape)
 
     seg_rows = sorted(segs.collect(), key=lambda r: (r["segment_dim"], r["segment_name"]))
@@ -232,10 +243,25 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
                      *[f"s_{i}" for i in range(n_codes)],
                      *[clean_double(F.col(f)).alias(f"f_{i}") for i, f in enumerate(feats)])
     solved: dict = {}
+    why: dict = {}
     todo = list(models)
     for i in range(0, len(todo), CHUNK):
         part = todo[i:i + CHUNK]
-        solved.update(_newton(rows, n_codes, len(feats), params, {c: models[c] for c in part}))
+        found, reasons = _newton(rows, n_codes, len(feats), params, {c: models[c] for c in part})
+        solved.update(found)
+        why.update(reasons)
+    # A segment whose own model has no weights is skipped with a reason; the others go on.
+    lost = {c: why[c, -1] for c in names if solved.get((c, -1)) is None}
+    marks = [(*names[c][:2], f"fit_{r}") for c, r in lost.items()] + [
+        (*names[c][:2], None) for c in names if c not in lost and why.get((c, -1)) == "not_converged"]
+    if marks:
+        table = local(spark, [(*m, m[2] is None) for m in marks],
+                      "segment_dim string, segment_name string, _lost string, _open boolean")
+        ledger = (attach(ledger, table, SEG, "left").withColumn("skip_reason", F.coalesce("skip_reason", "_lost"))
+                  .withColumn("converged", ~F.coalesce("_open", F.lit(False))).drop("_lost", "_open"))
+    else:
+        ledger = ledger.withColumn("converged", F.lit(True))
+    names = {c: v for c, v in names.items() if c not in lost}
 
     coef_rows, lines = [], []
     for c, (dim, name, n, n_bad) in names.items():

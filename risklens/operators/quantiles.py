@@ -27,10 +27,13 @@ ACCURACY = 10_000
 SMALL_N = 20_000
 FEW_VALUES = 64
 
-_PROBES = sorted({Fraction(i, k) for k in range(2, MAX_K + 1) for i in range(1, k)})
-# Row k-2, slot i-1: position of i/k among the probes, -1 for unused slots.
-_SLOT_INDEX = [[_PROBES.index(Fraction(i, k)) if i < k else -1 for i in range(1, MAX_K)]
-               for k in range(2, MAX_K + 1)]
+
+def _probes(max_k: int) -> tuple[list[Fraction], list[list[int]]]:
+    """All fractions i/k up to ``max_k``, and for each k where its fractions are (-1: unused slot)."""
+    probes = sorted({Fraction(i, k) for k in range(2, max_k + 1) for i in range(1, k)})
+    place = {p: i for i, p in enumerate(probes)}
+    return probes, [[place[Fraction(i, k)] if i < k else -1 for i in range(1, max_k)]
+                    for k in range(2, max_k + 1)]
 
 
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[Column],
@@ -53,11 +56,12 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[Colum
 
 
 def sketch(long: DataFrame, keys: list[str], k: Column, *, accuracy: int = ACCURACY,
-           small_n: int = SMALL_N, few_values: int = FEW_VALUES) -> DataFrame:
+           small_n: int = SMALL_N, few_values: int = FEW_VALUES, max_k: int = MAX_K) -> DataFrame:
     """Pinned row per group: counts, range, bin count ``k`` and the brackets of its quantiles.
 
-    ``k`` may use the columns ``n`` and ``n_bad`` (rows with a value).
+    ``k``, at most ``max_k``, may use the columns ``n`` and ``n_bad`` (rows with a value).
     """
+    all_probes, slot_index = _probes(max_k)
     has = F.col("x").isNotNull()
     basic = pin(long.groupBy(*keys).agg(
         F.count("*").alias("n_rows"), F.sum(F.col("y").cast("bigint")).alias("bad_rows"),
@@ -65,14 +69,14 @@ def sketch(long: DataFrame, keys: list[str], k: Column, *, accuracy: int = ACCUR
         F.coalesce(F.sum(F.when(has, F.col("y").cast("bigint"))), F.lit(0)).alias("n_bad"),
         F.min("x").alias("x_lo"), F.max("x").alias("x_hi")).withColumn("k", k.cast("int")),
         max_rows=200_000)
-    everything = _bounds("lo"), _bounds("hi")
+    everything = _bounds("lo", max_k - 1), _bounds("hi", max_k - 1)
     big = derived(basic, basic.where(F.col("n") > small_n))
     if big.isEmpty():
         out = basic.selectExpr("*", "true AS whole", *everything)
         return derived(basic, out)
     margin = 2.0 / accuracy
-    probes = [max(0.0, min(1.0, float(p) + s)) for p in _PROBES for s in (-margin, margin)]
-    table = "array(" + ", ".join(f"array({', '.join(map(str, r))})" for r in _SLOT_INDEX) + ")"
+    probes = [max(0.0, min(1.0, float(p) + s)) for p in all_probes for s in (-margin, margin)]
+    table = "array(" + ", ".join(f"array({', '.join(map(str, r))})" for r in slot_index) + ")"
     picked = [f"transform(element_at({table}, k - 1), j -> IF(j >= 0, get(_s, j * 2 + {side}), double('inf')))"
               for side in (0, 1)]
     many = f"_nd > {few_values}"

@@ -1,11 +1,11 @@
 """Pinning of intermediate tables that are small by construction.
 
 Segment lists, quantile sketches and fitted models have one row per segment or per
-(segment, feature) pair. ``pin`` checks that bound and, when it holds, turns the table into a
-local relation: it is computed once, every later stage sees the same values even when an executor
-is lost and recomputes its part, and joins against it can broadcast. When the bound does not hold
-the table is cut loose with a reliable checkpoint (or cached where no shared folder is configured)
-and joins against it are left to the optimizer.
+(segment, feature) pair. ``pin`` computes such a table once and then looks at its rows and bytes. Within
+the bounds it becomes a local relation: every later stage sees the same values even when an executor
+is lost and recomputes its part, and joins against it can broadcast. Beyond them it is written to the
+shared folder named by ``spark.checkpoint.dir`` (or stays cached where none is configured) and joins
+against it are left to the optimizer, whose adaptive execution splits the partitions of dominant keys.
 """
 
 from __future__ import annotations
@@ -15,22 +15,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-MAX_ROWS = 50_000
+MAX_ROWS = 200_000
 MAX_BYTES = 128 << 20
 
 
 def pin(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     spark = df.sparkSession
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows and head.nbytes <= max_bytes:
+    max_rows, max_bytes = min(max_rows, MAX_ROWS), min(max_bytes, MAX_BYTES)
+    # Cached rows are counted and measured where they lie; nothing is computed twice.
+    df.persist()
+    cached = df.select("*")  # a new plan, which reads the cache
+    rows = cached.count()
+    size = int(cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if rows <= max_rows and size <= max_bytes:
+        head = cached.toArrow()
+        df.unpersist()
         local = spark.createDataFrame(head, schema=df.schema)
-        local._pinned_rows = head.num_rows
+        local._pinned_rows = rows
         return local
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        return df.checkpoint()
-    return df.persist()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        return cached
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    out = cached.checkpoint()
+    df.unpersist()
+    return out
 
 
 def is_pinned(df: DataFrame) -> bool:
@@ -56,13 +66,14 @@ def derived(small: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Pinned table from driver-side rows (fitted models, configuration)."""
+    """Table from driver-side rows (fitted models, configuration), pinned within the bounds."""
     fields = StructType.fromDDL(schema)
     columns = list(zip(*rows)) if rows else [[] for _ in fields]
     arrow = to_arrow_schema(fields)
     table = pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
     df = spark.createDataFrame(table, schema=fields)
-    df._pinned_rows = len(rows)
+    if len(rows) <= MAX_ROWS and table.nbytes <= MAX_BYTES:
+        df._pinned_rows = len(rows)
     return df
 
 

@@ -27,7 +27,7 @@ def lr_by_tag(ws: Workspace):
        "SELECT *, CASE WHEN n < 50 AND segment_dim <> '__tag__' THEN 'n' WHEN n_bad < 20 THEN 'bad' "
        "WHEN n_good < 50 THEN 'good' END AS skip_reason FROM sizes")
 def lr_gate_ledger(ws: Workspace):
-    return ws.lr.ledger
+    return ws.lr.ledger.drop("converged")
 
 
 @query("f3_cv_auc")

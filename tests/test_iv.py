@@ -139,3 +139,40 @@ def test_woe_sums_to_iv(spark):
         total = woe.agg(F.sum("iv"), F.sum("n")).first()
         assert total[0] == pytest.approx(IV.iv_full(df, ONE).first().iv, abs=1e-12)
         assert total[1] == len(pdf)
+
+
+def test_more_bins_and_unpinned_tables_give_equal_results(spark, monkeypatch):
+    from risklens.operators import iv as I, logistic as L, small
+    from risklens.config import Roles
+    rng = np.random.default_rng(12)
+    n = 3000
+    pdf = pd.DataFrame({"id": [str(i) for i in range(n)], "a": rng.normal(size=n), "b": rng.exponential(size=n),
+                        "g": rng.choice(["u", "v"], n)})
+    pdf["y"] = (rng.uniform(size=n) < 1 / (1 + np.exp(1 - pdf.a))).astype(int)
+    df = spark.createDataFrame(pdf)
+    roles = Roles(key="id", target="y", features=("a", "b"), dims=("g",), tags=())
+
+    def results():
+        iv = I.iv_segments(df, roles).toPandas()
+        lr = L.fit_segments(df, roles, cross_validate=False)
+        coefs = lr.coefs.toPandas()
+        return (iv.sort_values(list(iv.columns[:3])).reset_index(drop=True),
+                coefs.sort_values(list(coefs.columns[:3])).reset_index(drop=True))
+
+    want = results()
+    monkeypatch.setattr(small, "MAX_ROWS", 1)
+    got = results()
+    for a, b in zip(want, got):
+        pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-9)
+
+
+def test_twelve_bins(spark):
+    from risklens.operators import iv as I
+    from risklens.operators.segments import KEY
+    rng = np.random.default_rng(3)
+    n = 5000
+    long = spark.createDataFrame(pd.DataFrame({"segment_dim": "d", "segment_name": "s", "feature": "f", "x": rng.normal(size=n),
+                                               "y": rng.integers(0, 2, n)}))
+    for small_n in (20_000, 100):
+        bins = I.adaptive_binning(long, KEY, bins=12, small_n=small_n).bins.where("kind = 'quantile'").collect()
+        assert len(bins) == 12 and {r.n for r in bins} <= {416, 417, 418}
