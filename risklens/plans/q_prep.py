@@ -7,6 +7,7 @@ from risklens.functions.labels import safe_divide
 from risklens.operators import features as FE, prep as P, segments as S
 from risklens.plans import oracle as O
 from risklens.plans.catalog import query, r, rounded
+from risklens.sources.tables import load_tables, read_csv, read_prepared, write_prepared
 from risklens.plans.workspace import DIMS, FEATURES, ROLES, TAGS, Workspace
 
 WIDE = O.with_(O.WIDE)
@@ -22,13 +23,32 @@ def bad_list(ws: Workspace):
 @query("a3_prepared_table", WIDE + f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, n_name, "
        f"r_name, n_orders, n_lines, qty_sum, price_cents, {r(*NUM)}, is_bad FROM wide")
 def prepared(ws: Workspace):
-    """The prepared wide table: key as text, roles typed."""
-    out = ws.wide.withColumn("c_custkey", F.col("c_custkey").cast("string"))
+    """The prepared wide table as written and read again: key as text, roles typed."""
+    path = ws.path("prepared")
+    write_prepared(ws.wide, path, "c_custkey", partition_by=("r_name",))
+    out = read_prepared(ws.spark, path, "c_custkey")
     cols = ["c_custkey", "c_mktsegment", "n_name", "r_name", "n_orders", "n_lines", "qty_sum",
             "price_cents", *NUM, "is_bad"]
     return rounded(out.select(*cols), NUM)
 
 
+@query("a1_read_csv", "SELECT LPAD(CAST(c_custkey AS VARCHAR), 9, '0') AS c_custkey, c_mktsegment, ROUND(c_acctbal, 2) AS c_acctbal FROM customer")
+def read_back_csv(ws: Workspace):
+    """The customers as CSV, read with the encoding found and the key as text."""
+    path = ws.path("customers")
+    key = F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("c_custkey")
+    ws.table("customer").select(key, "c_mktsegment", "c_acctbal").write.option("header", True).csv(path)
+    return rounded(read_csv(ws.spark, path, keys=("c_custkey",)), ("c_acctbal",), 2)
+
+
+@query("a2_load_tables", "SELECT 'customer' AS name, COUNT(*) AS n_rows FROM customer UNION ALL SELECT 'orders', COUNT(*) FROM orders")
+def load_named(ws: Workspace):
+    """A named set of tables, of which an optional one is missing."""
+    from risklens.sources.results import manifest
+    paths = {n: f"{ws.sf_dir}/{n}.parquet" for n in ("customer", "orders", "no_such_table")}
+    return manifest(load_tables(ws.spark, paths, required=("customer",))).withColumnRenamed("result", "name")
+
+
 @query("b1_label_from_list", WIDE + "SELECT c_custkey, is_bad FROM wide")
 def label_from_list(ws: Workspace):
     bad = bad_list(ws).withColumn("bad_id", P.clean_key(F.col("bad_id")))
@@ -52,6 +72,16 @@ def label_check(ws: Workspace):
     return rounded(out, ("hit_rate", "bad_rate"))
 
 
+@query("b2_label_check_all", WIDE + """
+SELECT COUNT(*) AS n, SUM(is_bad)::BIGINT AS n_bad, SUM(is_bad)::BIGINT AS n_list, 0 AS n_outside, 1.0 AS hit_rate,
+ ROUND(SUM(is_bad) * 1.0 / COUNT(*), 6) AS bad_rate, 'ok' AS status FROM wide""")
+def label_check_all(ws: Workspace):
+    """The list against the whole table."""
+    bad = bad_list(ws).withColumn("bad_id", P.clean_key(F.col("bad_id")))
+    out = P.label_check(P.label_from_list(ws.wide.select("c_custkey"), bad, "c_custkey", "bad_id"), bad, "bad_id")
+    return rounded(out, ("hit_rate", "bad_rate"))
+
+
 @query("b3_target_check", WIDE + """
 SELECT 'is_bad' AS target, COUNT(*) AS n, 0 AS n_missing, 0 AS n_foreign, 2 AS n_codes, 'ok' AS status FROM wide
 UNION ALL SELECT 'ev_error_cnt', COUNT(*), COUNT(*) - COUNT(ev_error_cnt),
@@ -283,6 +313,16 @@ def coverage_summary(ws: Workspace):
     return rounded(out, ("bad_rate",))
 
 
+@query("b17_coverage_all", WIDE + """
+SELECT COUNT(*) AS n, CAST(SUM(is_bad) AS BIGINT) AS n_bad, COUNT(e.user_id) AS n_matched,
+ COUNT(*) - COUNT(e.user_id) AS n_unmatched, (SELECT COUNT(DISTINCT user_id) FROM events WHERE user_id NOT IN
+ (SELECT c_custkey FROM wide)) AS n_out_of_scope, ROUND(SUM(is_bad) * 1.0 / COUNT(*), 6) AS bad_rate
+FROM wide LEFT JOIN (SELECT DISTINCT user_id FROM events) e ON e.user_id = c_custkey""")
+def coverage_all(ws: Workspace):
+    out = P.coverage_summary(ws.wide, ws.table("events"), "c_custkey", "user_id")
+    return rounded(out, ("bad_rate",))
+
+
 @query("b19_pairwise_valid", WIDE + "SELECT c_custkey, ev_cnt, ROUND(urgent_share, 6) AS urgent_share FROM wide "
        "WHERE ev_cnt IS NOT NULL AND urgent_share IS NOT NULL")
 def pairwise_valid(ws: Workspace):

@@ -112,6 +112,14 @@ def union_lr(ws: Workspace):
     return rounded(out.select("project", "segment_name", "feature", "lr_coef"), ("lr_coef",))
 
 
+@query("m2_union_lr_coefs")
+def union_lr_coefs(ws: Workspace):
+    """The fitted coefficients of every project."""
+    c = ws.lr.coefs.where("segment_dim <> '__tag__'")
+    return RG.union_projects({d: c.where(F.col("segment_dim") == d).drop("segment_dim") for d in O.DIMS}).select(
+        "project", "segment_name", "feature", "lr_coef")
+
+
 FIL = "fil AS (SELECT *, ROUND(1 - n_missing * 1.0 / segment_n, 4) AS coverage_rate FROM proj WHERE iv_reliability NOT IN ('not_computable', 'unreliable_leak') AND iv < 2)"
 
 
@@ -148,6 +156,12 @@ def direction_vote(ws: Workspace):
     return rounded(RG.direction_vote(coefs(ws)), ("positive_share",))
 
 
+@query("m6_direction_vote_coefs")
+def direction_vote_coefs(ws: Workspace):
+    """The vote of the fitted coefficients."""
+    return RG.direction_vote(ws.lr.coefs.where("segment_dim <> '__tag__'"))
+
+
 _domain = ("CASE WHEN project = '财务行业风险分析' THEN 'FIN' WHEN project LIKE '%财务%' THEN 'FIN' WHEN project LIKE '%征信%' THEN 'CRDTC' WHEN project LIKE '%担保%' THEN 'GUAR' "
            "ELSE 'UNKNOWN' END")
 

@@ -11,6 +11,7 @@ from risklens.plans import oracle as O, q_actions as QA, q_models as QM
 from risklens.plans.catalog import query, r, rounded
 from risklens.plans.q_iv import REL_SUMMARY
 from risklens.plans.q_univariate import UNI, corr_ctes
+from risklens.sources.results import OLD_NAMES, export_results, load_results, manifest
 from risklens.plans.workspace import DERIVED, DIMS, FEATURES, MODEL_FEATURES, ROLES, Workspace
 
 K = O.K
@@ -312,17 +313,33 @@ def threshold_ratios(ws: Workspace):
 
 @query("a8_threshold_outputs")
 def threshold_outputs(ws: Workspace):
+    """Summary and bin detail as written and read again."""
     s, d, _ = QA.explored(ws)
-    return d.join(s.select(*KEY, "cutoff", "is_valid"), KEY)
+    path = ws.path("thresholds")
+    export_results({"summary": s, "bins": d}, path)
+    got = load_results(ws.spark, path, ["summary", "bins"])
+    return got["bins"].join(got["summary"].select(*KEY, "cutoff", "is_valid"), KEY)
 
 
 @query("a5_result_bundle", FULLQ + """
 SELECT 'iv_full' AS result, COUNT(*) AS n_rows FROM ivt WHERE segment_dim = '__all__' UNION ALL SELECT 'iv_group', COUNT(*) FROM ivt WHERE segment_dim <> '__all__'
 UNION ALL SELECT 'corr', COUNT(*) FROM uni UNION ALL SELECT 'reliability', COUNT(*) FROM rel""")
 def result_bundle(ws: Workspace):
-    """Manifest of the named result tables."""
-    from risklens.sources.results import manifest
-    return manifest({"iv_full": ws.iv_full, "iv_group": groups(ws), "corr": ws.corr, "reliability": rel(ws)})
+    """Manifest of the named result tables as exported and reloaded."""
+    path = ws.path("results")
+    tables = {"iv_full": ws.iv_full, "iv_group": groups(ws), "corr": ws.corr, "reliability": rel(ws)}
+    export_results(tables, path)
+    return manifest(load_results(ws.spark, path, list(tables)))
+
+
+@query("a6_reload_old_names", FULLQ + "SELECT segment_dim, segment_name, feature, ROUND(iv, 6) AS iv, iv_reliability FROM ivt WHERE segment_dim <> '__all__'")
+def reload_old_names(ws: Workspace):
+    """Results exported under older table and column names."""
+    path = ws.path("old_results")
+    now = groups(ws).select(*KEY, "iv", "iv_reliability")
+    back = {n: o for o, n in reversed(OLD_NAMES.items()) if n in now.columns}
+    export_results({"iv_by_group": now.withColumnsRenamed(back)}, path)
+    return rounded(load_results(ws.spark, path, ["iv_group"], {"iv_group": ["iv_by_group"]})["iv_group"], ("iv",))
 
 
 @query("a11_table_fingerprint")

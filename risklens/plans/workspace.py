@@ -6,6 +6,8 @@ and kept (memory, then disk); a lost executor recomputes its part from the base
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -93,6 +95,11 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    def path(self, name: str) -> str:
+        """A new place for a file, in the folder that the session names for files or checkpoints."""
+        known = self.spark.conf.get("spark.risklens.dir", None) or self.spark.conf.get("spark.checkpoint.dir", None)
+        return f"{known or tempfile.mkdtemp(prefix='risklens-')}/{uuid.uuid4().hex}/{name}"
+
     def _keep(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -103,8 +110,7 @@ class Workspace:
         Each analysis pass expands a row to its segments and features, so the small partitions
         that adaptive execution would merge are kept apart.
         """
-        cores = self.spark.sparkContext.defaultParallelism
-        parts = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return self._keep(risk_wide(self.spark, self.sf_dir).repartition(parts, "c_custkey"))
 
     @cached_property
