@@ -7,8 +7,8 @@ extended meet at one boundary, the ids up to it are committed. Characters outsid
 become their UTF-8 byte pieces, and so does a literal U+2581, the character that stands for a space
 inside pieces; decoding therefore gives every text back exactly.
 
-No piece goes on from a non-space to a space or over a line feed, so all paths meet there; the text is
-searched unit by unit, and frequent short units are looked up.
+No piece goes on from a non-space to a space, from a word to a mark, or over a line feed, so all paths
+meet there; the text is searched unit by unit, and frequent short units are looked up.
 
 Null text counts as empty and has no ids. Rows are encoded one by one, so repeated rows give repeated
 results; all other columns but doc_id are left out.
@@ -17,6 +17,7 @@ results; all other columns but doc_id are left out.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,12 +29,12 @@ from risklens.llm.shared import pick
 from risklens.llm.words import text_column
 
 SPACE = "▁"
-#: Spaces and what follows up to the next space or line feed; spaces at an end; line feeds.
-UNIT = re.compile(r" *[^ \n]+| +|\n+")
-CACHE = 400_000
+#: Units in each of two generations that are looked up.
+CACHE = 600_000
 CACHED_LENGTH = 48
 #: Characters after which the paths are searched for a common boundary.
 CHECK = 256
+NEVER = float("-inf")
 
 
 def default_model() -> str:
@@ -64,20 +65,39 @@ class Vocabulary:
                 self.raw.append(piece.encode())
         self.longest = max(map(len, self.ids))
         self.unknown = min(self.scores.values()) - 10
-        inner = [p for p in self.ids if " " in p.lstrip(" ") or "\n" in p and len(p) > 1]
-        if inner or min(self.byte_ids) < 0:
+        if min(self.byte_ids) < 0 or any("\n" in p and len(p) > 1 or " " in p.lstrip(" ") for p in self.ids):
             raise ValueError("the model needs byte pieces, and no piece that goes over a space or line feed")
-        self._start = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        self.unit = self._units()
+        # The score of every piece, None for what only begins one.
+        self._prefix = {p[:n]: None for p in self.ids for n in range(1, len(p))} | self.scores
+
+    def _units(self) -> re.Pattern:
+        """Pattern of units, over whose ends no piece goes.
+
+        A unit is a word or marks and the word after them, with the spaces before. Marks are the
+        characters that pieces have only at the beginning, after a space or after other marks.
+        """
+        before: dict[str, set[str]] = {}
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                before.setdefault(b, set()).add(a)
+        marks = {c for p in self.ids for c in p if not (c.isalpha() or c.isspace())}
+        while bad := {c for c in marks if before.get(c, set()) - marks - {" "}}:
+            marks -= bad
+        m = "".join(map(re.escape, sorted(marks)))
+        mark, word = (f"[{m}]", rf"[^ \n{m}]") if m else ("(?!)", r"[^ \n]")
+        return re.compile(rf" *{word}+| *{mark}+{word}*| +|\n+")
 
     def bytes_of(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode()]
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best segmentation of ``text``."""
-        scores, start, ids, out = self.scores, self._start, self.ids, []
+        prefix, ids, longest, out = self._prefix.get, self.ids, self.longest, []
         # best[k], back[k]: best path to position base + k, and where its last piece begins (0 = base).
         base, reach, n = 0, 0, len(text)
-        best, back = [0.0], [0]
+        room = [NEVER] * (min(n, CHECK) + longest)
+        best, back = [0.0, *room], [0] * (len(room) + 1)
 
         def commit(to: int) -> None:
             """Emit the pieces up to position base + to."""
@@ -91,50 +111,44 @@ class Vocabulary:
                 else:
                     out.extend(self.bytes_of(piece))
 
-        i = 0
-        while i < n:
+        for i in range(n):
             k = i - base
-            if i == reach and k:
-                commit(k)
-                base, best, back, k = i, [best[k]], [0], 0
-            elif k >= CHECK and k % CHECK == 0:
-                joint = self._joint(back, k)
+            if k >= CHECK:
+                joint = k if i == reach else self._joint(back, [p for p in range(k, reach - base + 1) if best[p] > NEVER], k)
                 if joint:
                     commit(joint)
-                    base, best = base + joint, best[joint:]
-                    back, k = [max(0, x - joint) for x in back[joint:]], k - joint
-            here, j = best[k], i + 1
-            found = False
-            while j <= n:
-                piece = text[i:j]
-                if piece not in start:
+                    base, k = base + joint, k - joint
+                    best = [*best[joint:], *room]
+                    back = [*[max(0, x - joint) for x in back[joint:]], *[0] * len(room)]
+                elif len(best) < k + longest + 1:
+                    best += room
+                    back += [0] * len(room)
+            here, at = best[k], k
+            if prefix(text[i]) is None:  # not a piece of its own
+                total = here + self.unknown
+                if total > best[k + 1]:
+                    best[k + 1], back[k + 1] = total, k
+                if i >= reach:
+                    reach = i + 1
+            for j in range(i + 1, n + 1):
+                score = prefix(text[i:j], False)
+                if score is False:
                     break
-                score = scores.get(piece)
+                at += 1
                 if score is not None:
-                    found |= j == i + 1
-                    self._relax(best, back, j - base, here + score, k)
-                    reach = max(reach, j)
-                j += 1
-            if not found:
-                self._relax(best, back, k + 1, here + self.unknown, k)
-                reach = max(reach, i + 1)
-            i += 1
+                    total = here + score
+                    if total > best[at]:
+                        best[at], back[at] = total, k
+                    if j > reach:
+                        reach = j
         if n:
             commit(n - base)
         return out
 
     @staticmethod
-    def _relax(best: list[float], back: list[int], to: int, score: float, source: int) -> None:
-        while len(best) <= to:
-            best.append(float("-inf"))
-            back.append(0)
-        if score > best[to]:
-            best[to], back[to] = score, source
-
-    @staticmethod
-    def _joint(back: list[int], k: int) -> int:
-        """The last position that all paths to the positions from k on go through."""
-        alive = set(range(k, len(back)))
+    def _joint(back: list[int], ends: list[int], k: int) -> int:
+        """The last position, k at most, that all paths to ``ends`` go through."""
+        alive = set(ends)
         while len(alive) > 1:
             top = max(alive)
             alive.remove(top)
@@ -147,16 +161,17 @@ class Vocabulary:
 
 
 class _Units(dict):
-    """Ids of units as packed int32, with the frequent short ones kept."""
+    """Ids of units as packed int32; the recently used short ones are kept, in two generations."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, unit: str) -> bytes:
-        found = np.array(self.vocabulary.viterbi(unit), dtype=np.int32).tobytes()
+        found = self.older.get(unit) or array("i", self.vocabulary.viterbi(unit)).tobytes()
         if len(unit) <= CACHED_LENGTH:
             if len(self) >= CACHE:
+                self.older = dict(self)
                 self.clear()
             self[unit] = found
         return found
@@ -169,8 +184,8 @@ def _loaded(path: str) -> tuple[Vocabulary, _Units]:
 
 
 def encode_text(text: str, path: str) -> np.ndarray:
-    units = _loaded(path)[1]
-    return np.frombuffer(b"".join(map(units.__getitem__, UNIT.findall(" " + text if text else ""))), dtype=np.int32)
+    vocabulary, units = _loaded(path)
+    return np.frombuffer(b"".join(map(units.__getitem__, vocabulary.unit.findall(" " + text if text else ""))), dtype=np.int32)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

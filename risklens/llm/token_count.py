@@ -3,8 +3,8 @@
 A text's symbols are its characters; one outside the vocabulary counts as its UTF-8 bytes. They form
 a linked list, and a heap holds the adjacent pairs whose concatenation is a piece, best score first
 and leftmost first among equals. The lowest-rank pair is merged until none is left; the count is the
-initial number of symbols less the number of merges. No piece goes on from a non-space to a space or
-over a line feed, so merges stay within such units, and the counts of frequent short units are kept.
+initial number of symbols less the number of merges. Merges stay within the vocabulary's units, over
+whose ends no piece goes; the counts of frequent short units are kept.
 
 Null text counts as empty and has no tokens. Rows are counted one by one.
 """
@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from risklens.llm.pieces import CACHED_LENGTH, SPACE, UNIT, Vocabulary
+from risklens.llm.pieces import CACHED_LENGTH, SPACE, Vocabulary
 from risklens.llm.shared import pick
 from risklens.llm.words import text_column
 
@@ -71,7 +71,8 @@ def _loaded(path: str) -> _Counts:
 def count_tokens(text: str, path: str) -> int:
     # The library's own reading: a literal U+2581 is the same as a space.
     plain = (" " + text).replace(SPACE, " ") if text else ""
-    return sum(map(_loaded(path).__getitem__, UNIT.findall(plain)))
+    counts = _loaded(path)
+    return sum(map(counts.__getitem__, counts.vocabulary.unit.findall(plain)))
 
 
 def counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
