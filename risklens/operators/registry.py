@@ -327,16 +327,35 @@ FORBIDDEN = ("current_date", "current_timestamp", "now", "today")
 PARTITION_WORDS = ("part_ymd", "partition", "etl_dt")
 
 
+# Words of a calculation that are neither columns nor tables.
+CALC_WORDS = ("select", "from", "join", "left", "right", "inner", "full", "outer", "on", "where", "group", "order", "by",
+              "having", "and", "or", "not", "in", "is", "null", "like", "between", "case", "when", "then", "else", "end",
+              "as", "distinct", "over", "partition", "rows", "asc", "desc", "true", "false", "interval", "union", "all")
+
+
 def calc_scan(calc: Column) -> dict[str, Column]:
-    """Referenced function names, forbidden ones among them, and the partition test."""
-    funcs = F.array_sort(F.array_distinct(F.transform(
-        F.regexp_extract_all(calc, F.lit("([A-Za-z_][A-Za-z0-9_]*)\\s*\\("), 1), lambda f: F.lower(f))))
-    bare = F.regexp_extract_all(F.lower(calc), F.lit("\\b(current_date|current_timestamp)\\b"), 1)
+    """What a calculation refers to, found by pattern.
+
+    Note lines and quoted text are left out. ``functions``, ``tables`` (after from and join) and
+    ``columns`` (all other names) are lower-case, distinct and sorted; ``forbidden`` are the functions that must
+    not be used; ``odd`` marks unbalanced brackets or quotes, which warn.
+    """
+    bare_text = F.regexp_replace(F.regexp_replace(calc, "(?m)(--|#).*$", " "), "'[^']*'", " ")
+    lower = F.lower(bare_text)
+    each = lambda pattern: F.array_distinct(F.regexp_extract_all(lower, F.lit(pattern), F.lit(1)))
+    funcs = F.array_sort(each("([a-z_][a-z0-9_]*)\\s*\\("))
+    bare = each("\\b(current_date|current_timestamp)\\b")
     used = F.array_sort(F.array_intersect(F.array_union(funcs, bare), F.array(*[F.lit(f) for f in FORBIDDEN])))
+    tables = F.array_sort(each("\\b(?:from|join)\\s+([a-z_][a-z0-9_.]*)"))
+    names = each("(?<![\\w.])([a-z_][a-z0-9_.]*)\\b(?!\\s*\\()")
+    known = F.array_union(F.array_union(tables, bare), F.array(*[F.lit(w) for w in CALC_WORDS]))
+    count = lambda c: F.length(bare_text) - F.length(F.replace(bare_text, F.lit(c)))
     part = F.lit(False)
     for w in PARTITION_WORDS:
         part = part | F.lower(calc).contains(w)
-    return {"functions": funcs, "forbidden": used, "has_partition": part,
+    return {"functions": funcs, "forbidden": used, "has_partition": part, "tables": tables,
+            "columns": F.array_sort(F.array_except(names, known)),
+            "odd": F.coalesce((count("(") != count(")")) | bare_text.contains("'"), F.lit(False)),
             "passed": F.coalesce((F.length(calc) >= 5) & (F.size(used) == 0), F.lit(False))}
 
 

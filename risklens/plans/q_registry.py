@@ -315,11 +315,19 @@ def calc_scan(ws: Workspace):
                                 s["has_partition"].alias("has_partition"), s["passed"].alias("passed"))
 
 
+@query("m16_calc_references", O.with_(PROP) + """SELECT ind_code, CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE') THEN 'x' ELSE
+ array_to_string(list_sort(['d', 'part_ymd', LOWER(p_type), 'x']), ',') END AS columns, '' AS tables, false AS odd FROM prop""")
+def calc_references(ws: Workspace):
+    s = RG.calc_scan(F.col("calc_logic"))
+    return proposals(ws).select("ind_code", F.concat_ws(",", s["columns"]).alias("columns"), F.concat_ws(",", s["tables"]).alias("tables"),
+                                s["odd"].alias("odd"))
+
+
 def _rolled(ws: Workspace):
     p = proposals(ws)
-    none = F.lit(0)
+    none, scan = F.lit(0), RG.calc_scan(F.col("calc_logic"))
     checks = {"schema": (F.size(RG.schema_errors(p)) == 0, none), "naming": (F.size(RG.code_errors(F.col("ind_code"))) == 0, none),
-              "fields": RG.check_fields(p, dictionary(ws)), "calc_logic": (RG.calc_scan(F.col("calc_logic"))["passed"], none),
+              "fields": RG.check_fields(p, dictionary(ws)), "calc_logic": (scan["passed"], scan["odd"].cast("int")),
               "dedup": RG.check_duplicates(p, RG.code_name_pairs(registry(ws))).select(
                   "ind_code", (F.col("verdict") != "duplicate").alias("passed"), (F.col("verdict") == "similar").cast("int").alias("n_warnings"))}
     return RG.roll_up(p, checks)

@@ -150,6 +150,17 @@ def test_scd2_repeated_codes_take_effect_in_order(spark):
         RG.scd2_merge(start, batch, "b1", "2024-01-01").collect()
 
 
+def test_calc_scan_finds_references(spark):
+    calc = ("-- now() is only a note\nselect sum(t.amt) / nullif(count(distinct cust), 0) from dw.loans t join dw.cust c on t.id = c.id\n"
+            "where t.kind = 'from x now()' # today()\nand part_ymd = 20240101")
+    s = RG.calc_scan(F.col("c"))
+    r = spark.createDataFrame([(calc,), ("sum(x",), ("now() + today_x",), (None,)], "c string").select(*[v.alias(k) for k, v in s.items()]).collect()
+    assert r[0].functions == ["count", "nullif", "sum"] and r[0].forbidden == [] and r[0].passed and not r[0].odd
+    assert r[0].tables == ["dw.cust", "dw.loans"] and r[0].has_partition
+    assert r[0].columns == ["c", "c.id", "cust", "part_ymd", "t", "t.amt", "t.id", "t.kind"]
+    assert r[1].odd and r[2].forbidden == ["now"] and r[2].columns == ["today_x"] and not r[3].passed
+
+
 def test_code_checks(spark):
     rows = [("FIN_M_DEBT_RATIO_SNAP_RATIO", ""), ("fin_m_x", "pattern,domain,granularity"),
             ("FIN_EVT_X", "pattern"), ("FIN_M_" + "X" * 60, "too_long")]
