@@ -262,20 +262,21 @@ def tokens(name: Column) -> Column:
 
 
 def similar_names(candidates: DataFrame, existing: DataFrame, key: str = "ind_code",
-                  name: str = "ind_name", min_score: float = 72.25) -> DataFrame:
+                  name: str = "ind_name", min_score: float = 72.25, min_words: int = 1) -> DataFrame:
     """Pairs (candidate key, existing code, score) whose token-set score reaches ``min_score``.
 
     The score is the share of the shorter name's words found in the other name (100 when one name
     contains the other). Names collapse to distinct word sets first. Two sets can only reach the
     score when one of the rarest words of the shorter one occurs in the longer one, so only those
-    words are joined on; frequent words never form a join key unless a name has no other.
+    words are joined on; frequent words never form a join key unless a name has no other. Names of
+    fewer than ``min_words`` words are left out of the pairs.
     """
     sides = []
     for df, k in ((candidates, "a"), (existing, "b")):
         sides.append(df.select(F.col(key).alias(f"{k}_code"), tokens(F.col(name)).alias(k))
                      .where(F.size(k) > 0))
     left, right = sides
-    sets_a, sets_b = left.select("a").distinct(), right.select("b").distinct()
+    sets_a, sets_b = (df.select(k).where(F.size(k) >= min_words).distinct() for df, k in ((left, "a"), (right, "b")))
     freq = (sets_a.select(F.explode("a").alias("t")).unionByName(sets_b.select(F.explode("b").alias("t")))
             .groupBy("t").agg(F.count("*").alias("f")))
 
@@ -300,9 +301,18 @@ def similar_names(candidates: DataFrame, existing: DataFrame, key: str = "ind_co
 def check_duplicates(candidates: DataFrame, existing: DataFrame, threshold: float = 85.0,
                      key: str = "ind_code", name: str = "ind_name") -> DataFrame:
     """Best match of each candidate: duplicate from ``threshold``, warning from 85 % of it."""
-    left, right = similar_names(candidates, existing, key, name, threshold * 0.85)
+    left, right = similar_names(candidates, existing, key, name, threshold * 0.85, min_words=2)
     first = right.groupBy("b").agg(F.min("b_code").alias("b_code"))  # one code per word set
-    best = (left.join(first, "b").groupBy("a_code")
+    # A name of one word is part of every name with that word: only the smallest code can be the
+    # best, so a frequent word takes one row, not all its pairs.
+    words = first.select("b_code", F.size("b").alias("n"), F.explode("b").alias("t"))
+    with_word = words.groupBy("t").agg(F.min("b_code").alias("any_code"),
+                                       F.min(F.when(F.col("n") == 1, F.col("b_code"))).alias("one_code"))
+    mine = candidates.select(F.col(key).alias("a_code"), tokens(F.col(name)).alias("a"))
+    single = (mine.select("a_code", F.size("a").alias("n"), F.explode("a").alias("t")).join(with_word, "t")
+              .select("a_code", F.when(F.col("n") == 1, F.col("any_code")).otherwise(F.col("one_code")).alias("b_code"),
+                      F.lit(100.0).alias("score")).where("b_code is not null"))
+    best = (left.join(first, "b").select("a_code", "b_code", "score").unionByName(single).groupBy("a_code")
             .agg(F.min_by(F.struct("b_code", "score"), F.struct(-F.col("score"), F.col("b_code"))).alias("m")))
     out = (candidates.select(F.col(key)).join(
         best.select(F.col("a_code").alias(key), F.col("m.b_code").alias("matched_code"), "m.score"), key, "left"))

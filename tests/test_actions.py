@@ -161,6 +161,14 @@ def test_calc_scan_finds_references(spark):
     assert r[1].odd and r[2].forbidden == ["now"] and r[2].columns == ["today_x"] and not r[3].passed
 
 
+def test_one_word_names_match_without_pairs(spark):
+    known = spark.createDataFrame([(f"e{i:02d}", f"fresh w{i}") for i in range(50)] + [("e99", "fresh")], "ind_code string, ind_name string")
+    new = spark.createDataFrame([("c1", "fresh"), ("c2", "old fresh thing"), ("c3", "other"), ("c4", "w7 fresh")], "ind_code string, ind_name string")
+    got = {r.ind_code: (r.matched_code, r.score, r.verdict) for r in RG.check_duplicates(new, known).collect()}
+    assert got == {"c1": ("e00", 100.0, "duplicate"), "c2": ("e99", 100.0, "duplicate"), "c3": (None, 0.0, "new"),
+                   "c4": ("e07", 100.0, "duplicate")}
+
+
 def test_code_checks(spark):
     rows = [("FIN_M_DEBT_RATIO_SNAP_RATIO", ""), ("fin_m_x", "pattern,domain,granularity"),
             ("FIN_EVT_X", "pattern"), ("FIN_M_" + "X" * 60, "too_long")]
