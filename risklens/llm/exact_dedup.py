@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from risklens.llm.shared import lower_ascii, pick, unused, written
+from risklens.llm.shared import lower_ascii, own_names, pick, unused, written
 
 COUNTERS = 4096
 FAN_IN = 32
@@ -87,6 +87,7 @@ def groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return heavy.unionByName(light)
 
 
+@own_names("doc_id", "text")
 def keep(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The documents that stay, with all their columns.
 

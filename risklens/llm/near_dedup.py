@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from risklens.llm.components import components
 from risklens.llm.quality import in_blocks
-from risklens.llm.shared import pick, unused, written
+from risklens.llm.shared import own_names, pick, unused, written
 from risklens.llm.words import Words, mix, ngrams, pair, runs
 
 HASHES, BANDS, ROWS = 256, 40, 5
@@ -271,6 +271,7 @@ def groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFram
                     "component", F.when(F.col("n") > 0, F.col("best_row")).otherwise(F.col("row")).alias("best_row")))
 
 
+@own_names("doc_id", "text")
 def keep(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each component, and every document without words, with all columns."""
     id_, h = unused(docs, "kept_id"), unused(docs, "kept_hash")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from risklens.llm.shared import pick, written
+from risklens.llm.shared import own_names, pick, written
 from risklens.llm.words import Words, mix, ngrams, runs, text_column
 
 STATS = ("log_bytes", "log_words", "word_bytes", "word_bytes_sd", "log_longest_word", "upper", "digits",
@@ -291,6 +291,7 @@ def score_column(text: Column, model: Model) -> Column:
     return score(text)
 
 
+@own_names("doc_id", "text")
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents whose score reaches ``threshold``, with all their columns."""
     model = fit(written(stats_table(docs)), labels)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -42,7 +43,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     Of columns with the same name the first counts.
     """
     at = [df.columns.index(n) for n in names]
-    if len(set(df.columns)) != len(df.columns):
+    if len({c.lower() for c in df.columns}) != len(df.columns):
         df = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
         return df.select(*[F.col(f"_{i}").alias(n) for i, n in zip(at, names)])
     return df.select(*[F.col(f"`{n}`") for n in names])
@@ -52,6 +53,21 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def own_names(*needed: str):
+    """For functions of a table that return its columns: all but the needed ones are renamed meanwhile.
+
+    Column names that differ in case only, or that the function uses itself, so do no harm.
+    """
+    def wrap(function):
+        @wraps(function)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            at = {docs.columns.index(n): n for n in needed}
+            names = [at.get(i, f"other_{i}") for i in range(len(docs.columns))]
+            return function(docs.toDF(*names), *args, **options).toDF(*docs.columns)
+        return run
+    return wrap
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from risklens.llm import exact_dedup, near_dedup, substring_dedup
 from risklens.llm.components import components
 from tests.llm.conftest import ROWS, SCHEMA, extend, words
@@ -129,3 +131,15 @@ def test_repeated_passages_match_brute_force(spark, docs, empty):
     assert sorted((str(x.doc_id), x.n_words, x.n_removed, x.kept_sha256) for x in got) == sorted(
         (str(i), *want[(i is None, i or 0, t or "")]) for i, t in rows)
     assert sum(x.n_removed for x in got) > 800
+
+
+def test_names_that_differ_in_case_do_no_harm(spark, docs, labels):
+    from risklens.llm import fingerprints, language_model, mixing, pieces, private_data, quality, token_count
+    odd = docs.select("*", F.lit("x").alias("TEXT"), F.lit(1).alias("Doc_Id"), F.lit("y").alias("SOURCE"))
+    for kept in (exact_dedup.keep(odd), near_dedup.keep(odd), quality.keep(odd, labels), mixing.expand(odd)):
+        assert kept.columns == odd.columns and kept.count() > 0
+    path = pieces.default_model()
+    for found in (exact_dedup.groups(odd), near_dedup.groups(odd), substring_dedup.remove_repeats(odd), mixing.taken(odd),
+                  fingerprints.fingerprints(odd), private_data.find(odd), token_count.counts(odd, path), pieces.encode(odd, path),
+                  language_model.scores(odd, F.lit(True)), quality.stats_table(odd)):
+        assert found.count() == len(ROWS)
