@@ -5,8 +5,9 @@ all words by weight; a target stops at ``limit`` times its source's words and th
 again until none is above. A document's expected copies are its source's target over its source's
 words. The whole part is fixed; fractional parts are paired: words are moved at random from one to the
 other until one is a whole number, the other goes on to the next pair. Expected copies stay as they
-are, and so does the sum of words of each pair, so that a source misses its target by less than the
-words of one document.
+are, and so does the sum of words of each pair. The one document that stays open is drawn, and
+documents of its group that were rounded the same way are turned as long as they fit into the words
+it adds or lacks, so that a source misses its target by less than the words of a small document.
 
 Pairs are formed within groups of about ``GROUP`` documents, what each group leaves open is combined
 in groups of groups, up to one open document for each source, which is drawn. Draws are hashes of
@@ -85,6 +86,25 @@ def _pivot(size: np.ndarray, part: np.ndarray, draw: np.ndarray) -> tuple[np.nda
     return part, held
 
 
+def _uniform(raw: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) from 64-bit hashes."""
+    return (raw >> np.uint64(11)).astype(float) / 2.0 ** 53
+
+
+def _balanced(size: np.ndarray, part: np.ndarray, expected: np.ndarray, over: float, drawn: int) -> np.ndarray:
+    """Make up for the ``over`` words that the draw of the last open document adds (or lacks).
+
+    Documents that were rounded the same way are rounded the other way, in the given order, as long
+    as they are not larger than what is left over.
+    """
+    from_, to = (1.0, 0.0) if over > 0 else (0.0, 1.0)
+    left = abs(over)
+    for i in np.flatnonzero((expected > 0) & (expected < 1) & (part == from_)):
+        if i != drawn and size[i] <= left:
+            part[i], left = to, left - size[i]
+    return part
+
+
 def copies(units: DataFrame, keys: list[str], seed: int = 7, **options) -> DataFrame:
     """``units`` (keys, source, size, m; keys are unique with source and size) and how often they are taken.
 
@@ -110,11 +130,11 @@ def copies(units: DataFrame, keys: list[str], seed: int = 7, **options) -> DataF
             group = group.take(pa.array(order))
             size = np.maximum(col("size"), 1).astype(float)
             raw = mix(col("_draw").view(np.uint64) + np.uint64(level * 7919 + 1))
-            draw = (raw >> np.uint64(11)).astype(float) / 2.0 ** 53
-            part, held = _pivot(size, col("_part"), draw)
+            part, held = _pivot(size, col("_part"), _uniform(raw))
             if held >= 0 and last:
-                extra = mix(raw + np.uint64(1))[held]
-                part[held] = float((extra >> np.uint64(11)) / 2.0 ** 53 < part[held])
+                extra = float(_uniform(mix(raw[held:held + 1] + np.uint64(1)))[0] < part[held])
+                over, part[held] = size[held] * (extra - part[held]), extra
+                part = _balanced(size, part, col("_part"), over, held)
                 held = -1
             open_ = np.zeros(len(part), dtype=bool)
             if held >= 0:
