@@ -30,7 +30,7 @@ from risklens.llm.words import text_column
 
 SPACE = "▁"
 #: Units in each of two generations that are looked up.
-CACHE = 600_000
+CACHE = 300_000
 CACHED_LENGTH = 48
 #: Characters after which the paths are searched for a common boundary.
 CHECK = 256
