@@ -35,7 +35,7 @@ HASHES, BANDS, ROWS = 256, 40, 5
 SLACK = 6.0
 SLACK_SEARCH = 4.0
 BLOCK = 1024
-TRIES = 8
+TRIES = 4
 
 
 def shingles(column, words: int) -> tuple[np.ndarray, np.ndarray]:
