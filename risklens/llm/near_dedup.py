@@ -7,10 +7,10 @@ bucket with probability 2e-8.
 
 Pairs of a bucket are not listed. First every class is compared with one hub of each of its buckets.
 Comparisons look at the signatures and, if these allow it, at the full sets, so every link is exact.
-Then, as long as this merges components, buckets that still hold several components are gone through
-in blocks of ``BLOCK`` classes: signatures of classes in different components are compared in memory,
-and the most alike ``TRIES`` pairs of two components are confirmed on their full sets. Components of
-the confirmed links come from alternating large-star and small-star.
+Then buckets that still hold several components are gone through in blocks of ``BLOCK`` classes: classes
+of different components whose signatures allow it are compared on their full sets within the task,
+which only gives the links it finds. Components of the confirmed links come from alternating large-star
+and small-star, after the hubs and at the end.
 
 Null text counts as empty; documents without words are linked with nothing. component_id is the
 smallest doc_id of the component, null only if all its doc_ids are null. Rows that repeat a doc_id
@@ -35,7 +35,6 @@ HASHES, BANDS, ROWS = 256, 40, 5
 SLACK = 6.0
 SLACK_SEARCH = 4.0
 BLOCK = 1024
-TRIES = 4
 
 
 def shingles(column, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,19 +105,22 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return pick(docs, "doc_id", "text").select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
 
 
+def _key(sig: np.ndarray, band: int) -> np.ndarray:
+    """Bucket of each signature in a band."""
+    key = np.full(len(sig), band, dtype=np.uint64)
+    for r in range(ROWS):
+        key = pair(key, sig[:, band * ROWS + r].astype(np.uint64))
+    return key
+
+
 def _band_keys(sketches: DataFrame) -> DataFrame:
     """(key, node, doc_id): one row for each class and band."""
     def run(batches):
         for b in batches:
             if not len(b):
                 continue
-            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint16).reshape(-1, HASHES).astype(np.uint64)
-            keys = []
-            for band in range(BANDS):
-                key = np.full(len(sig), band, dtype=np.uint64)
-                for r in range(ROWS):
-                    key = pair(key, sig[:, band * ROWS + r])
-                keys.append(key)
+            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
+            keys = [_key(sig, band) for band in range(BANDS)]
             rows = np.tile(np.arange(len(sig)), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), b.column(0).take(pa.array(rows)),
                                               b.column(1).take(pa.array(rows))], ["key", "node", "doc_id"])
@@ -160,8 +162,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
                 ok = (sx == sy).mean() >= floor
                 if ok:
                     x, y = (np.frombuffer(c[i].as_buffer(), dtype=np.uint64) for c in (x_set, y_set))
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok = 100 * both >= percent * (len(x) + len(y) - both)
+                    ok = _alike(x, y, percent)
                 keep.append(ok)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -171,63 +172,61 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return both.mapInArrow(run, "a long, b long")
 
 
-def _searched(members: DataFrame, labels: DataFrame, earlier: DataFrame | None, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and have the most alike signatures.
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are at least ``percent`` per cent alike."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
 
-    ``earlier`` are the labels of the search before: only pairs of which one has a new label are
-    looked at, the others were.
+def _searched(members: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between classes that share a bucket but not yet a component.
+
+    Every such pair whose signatures allow it is confirmed on the full sets, in the first bucket that
+    it shares, unless a link between the same two components was found there before.
     """
+    percent = round(similarity * 100)
     floor = similarity - SLACK_SEARCH * np.sqrt(similarity * (1 - similarity) / HASHES)
-    if earlier is None:
-        labels = labels.withColumn("fresh", F.lit(True))
-    else:
-        old = earlier.select("node", F.col("label").alias("old"))
-        labels = labels.join(old, "node", "left").withColumn("fresh", ~F.col("label").eqNullSafe(F.coalesce("old", "node"))).drop("old")
     labelled = (members.select("key", "node").join(labels, "node", "left")
-                .withColumns({"label": F.coalesce("label", "node"), "fresh": F.coalesce("fresh", F.lit(earlier is None))}))
-    mixed = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"),
-                                         F.bool_or("fresh").alias("fresh"))
-             .where("lo != hi and fresh").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = labelled.join(mixed, "key").join(sets.select("node", "sig"), "node")
+                .withColumn("label", F.coalesce("label", "node")))
+    mixed = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+             .where("lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    rows = labelled.join(mixed, "key").join(sets, "node")
     own = F.pmod(F.hash("node"), "blocks")
     rows = (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
-            .select("key", "one", "two", "own", "node", "label", "fresh", "sig"))
+            .select("key", "one", "two", "own", "node", "label", "sig", "grams"))
 
     def search(group: pa.Table) -> pa.Table:
-        node, label, own, fresh_label = (group[c].to_numpy() for c in ("node", "label", "own", "fresh"))
+        group = group.take(pa.compute.sort_indices(group["node"]))
+        node, label, own = (group[c].to_numpy() for c in ("node", "label", "own"))
         sig = np.frombuffer(b"".join(group["sig"].to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
+        banded = sig[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        grams = group["grams"]
+        band = next(k for k in range(BANDS) if _key(sig[:1], k).view(np.int64)[0] == group["key"][0].as_py())
         across = group["one"][0].as_py() != group["two"][0].as_py()
-        names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
+        _, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
         largest = inverse == count.argmax()
-        found = []
-        # Pairs within the largest component need no look; all others start from a row outside it.
+        linked: set[tuple[int, int]] = set()
+        a, b = [], []
+        # Pairs within the largest component need no look; all others have a row outside it.
         for i in np.flatnonzero(~largest):
-            other = (label != label[i]) & (largest | (node > node[i]))
+            other = (inverse != inverse[i]) & (largest | (node > node[i]))
             if across:
                 other &= own != own[i]
-            if not fresh_label[i]:
-                other &= fresh_label
             other = np.flatnonzero(other)
-            alike = (sig[other] == sig[i]).mean(axis=1)
-            near = alike >= floor
-            if near.any():
-                j = other[near]
-                found.append(np.column_stack([np.minimum(inverse[i], inverse[j]), np.maximum(inverse[i], inverse[j]),
-                                              np.full(len(j), i), j, -np.round(alike[near] * HASHES)]).astype(np.int64))
-        if not found:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        table = np.concatenate(found)
-        table = table[np.lexsort((table[:, 4], table[:, 1], table[:, 0]))]
-        fresh = np.ones(len(table), dtype=bool)
-        fresh[1:] = (table[1:, :2] != table[:-1, :2]).any(axis=1)
-        first = np.flatnonzero(fresh)
-        rank = np.arange(len(table)) - np.repeat(first, np.diff(np.append(first, len(table))))
-        table = table[rank < TRIES]
-        x, y = node[table[:, 2]], node[table[:, 3]]
-        return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
-
-    return rows.groupBy("key", "one", "two").applyInArrow(search, "a long, b long").distinct()
+            other = other[(sig[other] == sig[i]).mean(axis=1) >= floor]
+            for j in other[(banded[other, :band] != banded[i, :band]).any(axis=2).all(axis=1)]:
+                ends = (min(inverse[i], inverse[j]), max(inverse[i], inverse[j]))
+                if ends in linked:
+                    continue
+                x, y = (np.frombuffer(grams[int(k)].as_buffer(), dtype=np.uint64) for k in (i, j))
+                if _alike(x, y, percent):
+                    linked.add(ends)
+                    a.append(node[i])
+                    b.append(node[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("key", "one", "two").applyInArrow(search, "a long, b long")
 
 
 def groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -252,13 +251,9 @@ def groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFram
     sets = written(_sets(docs, wanted, words))
     pairs = members.where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = written(_confirmed(pairs, sets, similarity))
-    labels, earlier = components(links), None
-    while True:
-        more = written(_confirmed(_searched(members, labels, earlier, sets, similarity), sets, similarity))
-        if more.isEmpty():
-            break
-        links = more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        earlier, labels = labels, components(links)
+    labels = components(links)
+    more = _searched(members, labels, sets, similarity)
+    labels = components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
     labelled = (classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
                 .select(*same, "label", "doc_id", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node").alias("best")))
     best = labelled.groupBy("label").agg(F.min("best").alias("best"))
