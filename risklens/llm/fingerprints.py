@@ -149,10 +149,11 @@ class Tables:
         return (*(np.concatenate(x) for x in zip(*found)), whole)
 
     def strings(self, p: Paragraphs) -> list[str]:
+        """Tables as text: number of paragraphs, digest sums, lower 16 bits of counts and of check sums."""
         head = np.bincount(p.doc, minlength=p.rows).astype("<u8")
-        body = np.column_stack([self.count.astype("<u4").view("<u4"), self.checks.astype("<u4")]).view("<u8")
-        cells = np.column_stack([self.sums.astype("<u8"), body[:, 0]]).reshape(self.rows, -1)
-        return [base64.b64encode(h.tobytes() + c.tobytes()).decode() for h, c in zip(head, cells)]
+        sums = self.sums.astype("<u8").reshape(self.rows, -1)
+        rest = np.column_stack([self.count.astype("<u2"), self.checks.astype("<u2")]).reshape(self.rows, -1)
+        return [base64.b64encode(h.tobytes() + s.tobytes() + r.tobytes()).decode() for h, s, r in zip(head, sums, rest)]
 
 
 def likeness(a: Paragraphs, b: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
