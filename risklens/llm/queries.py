@@ -105,3 +105,44 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import language_model
     return language_model.scores(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
+
+
+def _assigned(at: int) -> str:
+    """CTE a{at}: each part's nearest entry of codebook b{at}, and its squared distance."""
+    return f"""a{at} AS (SELECT vec_id, label, p, x, min({{'d': d, 'e': e}}).e AS e, min({{'d': d, 'e': e}}).d AS d FROM (
+  SELECT v.vec_id, v.label, v.p, v.x, b.e, list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - b.x[i]) * (v.x[i] - b.x[i]))) AS d
+  FROM parts v JOIN b{at} b ON v.p = b.p) GROUP BY 1, 2, 3, 4)"""
+
+
+def _moved(at: int) -> str:
+    """CTE b{at}: codebook b{at - 1} with the floors of the means of its assigned parts."""
+    return f"""m{at} AS (SELECT p, e, list(m ORDER BY i) AS x FROM (
+  SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m FROM a{at - 1}, (SELECT UNNEST(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i)
+  GROUP BY 1, 2, 3) GROUP BY 1, 2),
+b{at} AS (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{at - 1} b LEFT JOIN m{at} m ON b.p = m.p AND b.e = m.e)"""
+
+
+@query("op11_vector_codes", f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, label, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM kept, (SELECT UNNEST(range(16)) AS p)),
+first AS (SELECT vec_id, ROW_NUMBER() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+b0 AS (SELECT p, e, x FROM parts JOIN first USING (vec_id)),
+{_assigned(0)}, {_moved(1)}, {_assigned(1)}, {_moved(2)}, {_assigned(2)},
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY 1, 2),
+totals AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded GROUP BY 1)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM coded JOIN totals ON coded.label IS NOT DISTINCT FROM totals.label, digest""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import vector_codes
+    return vector_codes.codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import byte_bpe
+    path = byte_bpe.default_ranks()
+    encoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, byte_bpe.default_pattern()), path)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

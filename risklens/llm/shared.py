@@ -74,3 +74,8 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def bounded(table: DataFrame, rows: int = 20_000) -> DataFrame:
+    """A written table, to be broadcast if it is counted to have ``rows`` rows at most."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table

@@ -133,3 +133,11 @@ def runs(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     base = np.zeros(len(counts), dtype=np.int64)
     np.cumsum(size[:-1], out=base[1:])
     return np.arange(int(size.sum())) - base[doc] + first[doc], doc
+
+
+class Spans(Words):
+    """Hashes of given byte spans, none of them empty; the same as those of words with these bytes."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        self.data, self.start, self.end = data, start, end
+        self.hash = self._hash(data)
