@@ -146,3 +146,26 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, byte_bpe.default_pattern()), path)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, UNNEST(string_split_regex(LOWER_TEXT, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (SELECT lang, words, k, UNNEST(range(1, len(words) - k + 2)) AS i FROM w, (SELECT UNNEST(range(1, 6)) AS k) WHERE len(words) >= k),
+f AS (SELECT lang, k AS m, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY 1, 2, 3),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS words, a FROM f WHERE m > 1 AND a >= 100),
+cuts AS (SELECT c.*, k, array_to_string(words[1:k], ' ') AS x, array_to_string(words[k + 1:m], ' ') AS y
+  FROM c, (SELECT UNNEST(range(1, 5)) AS k) WHERE k < m),
+s AS (SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, n, k,
+    CAST((1000 * CAST(cuts.a AS HUGEINT) * CAST(n AS HUGEINT)) // (CAST(x.a AS HUGEINT) * CAST(y.a AS HUGEINT)) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y
+  JOIN n ON n.lang = cuts.lang),
+best AS (SELECT * FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.m > len(string_split(b.phrase, ' '))
+  AND 100 * c.a >= 100 * b.a AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+  CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score FROM kept QUALIFY rank <= 2000""".replace("LOWER_TEXT", LOWER_SQL))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from risklens.llm import collocations
+    return collocations.collocations(documents(spark, sf_dir))
