@@ -18,10 +18,10 @@ left out.
 from __future__ import annotations
 
 import base64
-import heapq
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +35,12 @@ from risklens.llm.words import Spans, mix
 BUCKET, TRIES = 4, 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 LONG = 1 << 20
-CACHE, CACHED_BYTES = 400_000, 64
-#: Rows that are decoded together.
-ROWS = 256
+#: Bytes of texts that are encoded together.
+BLOCK = 2 << 20
+#: Pieces in each of two generations that are kept, and their length at most.
+CACHE, CACHED_LENGTH = 300_000, 48
+#: Ids that are decoded together.
+TOGETHER = 1 << 20
 
 
 def default_ranks() -> str:
@@ -118,9 +121,10 @@ class Ranks:
         self.rank = np.empty(len(keys), dtype=np.int32)
         self.start[slot], self.size[slot] = start, size
         self.rank[slot] = [tokens[k] for k in keys]
-        self.tokens, self.bytes_of = tokens, {i: t for t, i in tokens.items()}
-        self._kept: dict[bytes, bytes] = {}
-        self._older: dict[bytes, bytes] = {}
+        #: Slot of every id, -1 for numbers that are no id.
+        self.slot = np.full(int(self.rank.max()) + 1, -1, dtype=np.int64)
+        self.slot[self.rank] = np.arange(len(keys))
+        self.tokens, self.missed = tokens, _Missed(self)
 
     def whole(self, pieces: pa.Array) -> np.ndarray:
         """Rank of each piece (a large_binary array) that is a token as a whole, -1 for the others."""
@@ -138,57 +142,83 @@ class Ranks:
         return out
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ranks of a piece by merging pairs of its bytes."""
-        tokens, n = self.tokens, len(piece)
-        rank = [tokens[piece[i:i + 1]] for i in range(n)]
-        end, right, left = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := tokens.get(piece[i:i + 2])) is not None]
-        heapq.heapify(heap)
+        """Ranks of a piece by merging pairs of its bytes, each token being known by where it begins."""
+        tokens, get, n = self.tokens, self.tokens.get, len(piece)
+        shift = n.bit_length()
+        place = (1 << shift) - 1
+        right, left = list(range(1, n + 1)), list(range(-1, n))
+        # Rank of the pair that begins at each place; heap entries that differ from it are out of date.
+        pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+        pair.append(-1)
+        heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
+        heapify(heap)
         while heap:
-            r, i, to = heapq.heappop(heap)
-            j = right[i]
-            if not end[i] or j >= n or end[j] != to:
-                continue  # one of the two has been merged since
-            rank[i], end[i], end[j], right[i] = r, to, 0, right[j]
-            after, before = right[i], left[i]
+            entry = heappop(heap)
+            i = entry & place
+            if pair[i] != entry >> shift:
+                continue
+            middle = right[i]
+            after = right[i] = right[middle]
+            pair[middle] = -1
             if after < n:
                 left[after] = i
-                if (r := tokens.get(piece[i:end[after]])) is not None:
-                    heapq.heappush(heap, (r, i, end[after]))
-            if before >= 0 and (r := tokens.get(piece[before:to])) is not None:
-                heapq.heappush(heap, (r, before, to))
-        return [r for r, e in zip(rank, end) if e]
-
-    def missed(self, piece: bytes) -> bytes:
-        """``merged`` as packed numbers; those of short pieces are kept, in two generations."""
-        found = self._kept.get(piece)
-        if found is None:
-            found = self._older.get(piece) or array("i", self.merged(piece)).tobytes()
-            if len(piece) <= CACHED_BYTES:
-                if len(self._kept) >= CACHE:
-                    self._older, self._kept = self._kept, {}
-                self._kept[piece] = found
-        return found
+                pair[i] = r = get(piece[i:right[after]], -1)
+                if r >= 0:
+                    heappush(heap, r << shift | i)
+            else:
+                pair[i] = -1
+            before = left[i]
+            if before >= 0:
+                pair[before] = r = get(piece[before:after], -1)
+                if r >= 0:
+                    heappush(heap, r << shift | before)
+        out, i = [], 0
+        while i < n:
+            out.append(tokens[piece[i:right[i]]])
+            i = right[i]
+        return out
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, and where those of each piece begin."""
         if not pieces:
             return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
-        distinct = coded.dictionary.view(pa.large_binary())
-        rank = self.whole(distinct)
-        found = [self.missed(p) for p in distinct.take(pa.array(np.flatnonzero(rank < 0))).to_pylist()]
-        # Ids of the misses, then the ranks of the tokens.
-        flat = np.concatenate([np.frombuffer(b"".join(found), dtype=np.int32), rank[rank >= 0]])
-        size = np.ones(len(rank), dtype=np.int64)
-        size[rank < 0] = np.array([len(f) // 4 for f in found], dtype=np.int64)
-        order = np.argsort(rank >= 0, kind="stable")
-        start = np.empty(len(rank), dtype=np.int64)
-        start[order] = np.cumsum(size[order]) - size[order]
-        at = coded.indices.to_numpy()
+        rank = self.whole(pa.array(pieces, pa.large_string()).view(pa.large_binary()))
+        hit = rank >= 0
+        found = [self.missed[pieces[i]] for i in np.flatnonzero(~hit).tolist()]
+        size = np.ones(len(pieces), dtype=np.int64)
+        size[~hit] = np.array(list(map(len, found)), dtype=np.int64) // 4
         bounds = np.zeros(len(pieces) + 1, dtype=np.int64)
-        np.cumsum(size[at], out=bounds[1:])
-        return _gather(flat, start[at], size[at]), bounds
+        np.cumsum(size, out=bounds[1:])
+        flat = np.empty(int(bounds[-1]), dtype=np.int32)
+        rest = np.ones(len(flat), dtype=bool)
+        rest[bounds[:-1][hit]] = False
+        flat[~rest] = rank[hit]
+        flat[rest] = np.frombuffer(b"".join(found), dtype=np.int32)
+        return flat, bounds
+
+    def text(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that ids stand for."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.slot) or self.slot[ids].min() < 0):
+            raise ValueError("an id that is no token")
+        slot = self.slot[ids]
+        return _gather(self.data, self.start[slot], self.size[slot])
+
+
+class _Missed(dict):
+    """Packed ranks of pieces that are no tokens; those of short pieces are kept, in two generations."""
+
+    def __init__(self, ranks: Ranks):
+        super().__init__()
+        self.ranks, self.older = ranks, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece) or array("i", self.ranks.merged(piece.encode())).tobytes()
+        if len(piece) <= CACHED_LENGTH:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -232,43 +262,56 @@ def encode_texts(texts: list[str], ranks: Ranks, pattern, cut) -> tuple[np.ndarr
     return np.concatenate(flats) if flats else np.zeros(0, dtype=np.int32), counts
 
 
-def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
-    offsets = np.zeros(len(counts) + 1, dtype=np.int32)
-    np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def decode_ids(flat: np.ndarray, ranks: Ranks) -> np.ndarray:
+    """The bytes of all ids."""
+    return np.concatenate([np.zeros(0, np.uint8), *(ranks.text(flat[i:i + TOGETHER]) for i in range(0, len(flat), TOGETHER))])
+
+
+def _bounds(counts: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(counts) + 1, dtype=np.int32)
+    np.cumsum(counts, out=out[1:])
+    return out
+
+
+def _decoded(flat: np.ndarray, counts: np.ndarray, ranks: Ranks) -> pa.Array:
+    """One binary value for each text, whose ids lie one after the other."""
+    size = np.append(0, np.cumsum(ranks.size[ranks.slot[flat]]))
+    ends = size[np.cumsum(counts)].astype(np.int32) if len(counts) else np.zeros(0, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(np.append(np.int32(0), ends)),
+                                                            pa.py_buffer(decode_ids(flat, ranks))])
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every whole text."""
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every whole text; with ``decoded`` also the bytes that the ids stand for."""
     shift = load(path).find.shift.tobytes()
+    names = ["doc_id", "n_tokens", "ids", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         ranks, compiled, cut = load(path, shift), regex.compile(pattern), regex.compile(r"\S (?=\S)")
         for b in batches:
             at = 0
-            for block in in_blocks(b.column(1)):
+            for block in in_blocks(b.column(1), BLOCK):
                 flat, counts = encode_texts(block.to_pylist(), ranks, compiled, cut)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(block)), pa.array(counts), _lists(flat, counts)],
-                                                 ["doc_id", "n_tokens", "ids"])
+                ids = pa.ListArray.from_arrays(pa.array(_bounds(counts)), pa.array(flat))
+                back = [_decoded(flat, counts, ranks)] if decoded else []
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(block)), pa.array(counts), ids, *back], names)
                 at += len(block)
     plain = pick(docs, "doc_id", "text")
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>")
+    return plain.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): the bytes that the ids stand for. An unknown id is an error."""
+    """(doc_id, ids, decoded): the bytes that ids, none of them null, stand for; null for null."""
     shift = load(path).find.shift.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = load(path, shift).bytes_of
+        ranks = load(path, shift)
         for b in batches:
-            for at in range(0, len(b), ROWS):
-                part = b.slice(at, ROWS)
-                texts = [None if ids is None else b"".join(map(table.__getitem__, ids.values.to_pylist())) for ids in
-                         (x if x.is_valid else None for x in part.column(2))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], ["doc_id", "n_tokens", "ids", "decoded"])
-    plain = pick(encoded, "doc_id", "n_tokens", "ids")
+            column = b.column(1)
+            texts = [decode_ids(ids.values.to_numpy(), ranks).tobytes() if ids.is_valid else None for ids in column]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+    plain = pick(encoded, "doc_id", "ids")
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, decoded binary")
+    return plain.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")

@@ -142,8 +142,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_byte_bpe")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from risklens.llm import byte_bpe
-    path = byte_bpe.default_ranks()
-    encoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, byte_bpe.default_pattern()), path)
+    encoded = byte_bpe.encode(documents(spark, sf_dir), byte_bpe.default_ranks(), byte_bpe.default_pattern(), decoded=True)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

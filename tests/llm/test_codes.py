@@ -170,11 +170,25 @@ def expected_bpe(library, texts):
 def test_byte_bpe_equals_the_library(spark, docs, tokens, monkeypatch):
     ranks, library = tokens
     path, pattern = byte_bpe.default_ranks(), byte_bpe.default_pattern()
-    got = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path).collect()
     texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = byte_bpe.encode(docs, path, pattern, decoded=True).collect()
     assert sorted([(r.doc_id, r.n_tokens, r.ids, bytes(r.decoded)) for r in got], key=str) == expected_bpe(library, texts)
 
 
+def test_decoding_gives_the_bytes_back(spark, docs):
+    path = byte_bpe.default_ranks()
+    encoded = byte_bpe.encode(docs, path, byte_bpe.default_pattern())
+    got = byte_bpe.decode(encoded, path).collect()
+    texts = docs.select("doc_id", "text").collect()
+    assert sorted((str(r.doc_id), bytes(r.decoded)) for r in got) == sorted((str(r.doc_id), (r.text or "").encode()) for r in texts)
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [0, 256, 50255])], "doc_id long, ids array<int>")
+    ranks = byte_bpe.load(path)
+    token = {i: t for t, i in ranks.tokens.items()}
+    assert {r.doc_id: r.decoded for r in byte_bpe.decode(odd, path).collect()} == {1: None, 2: b"", 3: token[0] + token[256] + token[50255]}
+    with pytest.raises(ValueError):
+        ranks.text(np.array([50256]))
+
+
 def test_long_texts_are_cut_where_pieces_begin(tokens, monkeypatch):
     import regex
     ranks, library = tokens
@@ -194,12 +208,12 @@ def test_very_long_runs_are_quick(tokens, unit):
     start = time.perf_counter()
     flat, _ = byte_bpe.encode_texts([text], ranks, regex.compile(byte_bpe.default_pattern()), regex.compile(r"\S (?=\S)"))
     assert time.perf_counter() - start < 15
-    assert b"".join(ranks.bytes_of[i] for i in flat.tolist()) == text.encode()
+    assert byte_bpe.decode_ids(flat, ranks).tobytes() == text.encode()
 
 
 def test_byte_bpe_of_nothing(spark, empty):
     path = byte_bpe.default_ranks()
-    assert byte_bpe.decode(byte_bpe.encode(empty, path, byte_bpe.default_pattern()), path).collect() == []
+    assert byte_bpe.decode(byte_bpe.encode(empty, path, byte_bpe.default_pattern(), decoded=True), path).collect() == []
 
 
 def brute_collocations(rows, support, longest, top):
