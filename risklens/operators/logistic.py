@@ -19,12 +19,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from risklens.config import ALL, GATES, TAG_DIM, Roles
-from risklens.functions.hashing import fold_of
 from risklens.operators.quantiles import group_median
 from risklens.operators.ranking import auc
-from risklens.operators.segments import (KEY, SEG, clean_double, eligible, long_form, segment_sizes,
+from risklens.operators.segments import (KEY, SEG, clean_double, eligible, expand, long_form, segment_sizes,
                                          skip_reason, tag_name)
-from risklens.operators.small import attach, local, pin
+from risklens.operators.small import attach, derived, is_pinned, local, pin
+from risklens.operators.strata import cuts, fold_of, fold_starts, key_hash
 
 FOLDS = 5
 MAX_ITER = 50
@@ -62,30 +62,56 @@ def standardiser(df: DataFrame, roles: Roles, segs: DataFrame, **shape) -> DataF
                max_rows=200_000)
 
 
-def _with_codes(df: DataFrame, roles: Roles, codes: dict[tuple[str, str], int], full: bool,
+def fold_cuts(df: DataFrame, roles: Roles, segs: DataFrame, **shape) -> DataFrame:
+    """Pinned (SEG, y, n, cuts): where the folds of each class of the given segments begin."""
+    slim = df.select(*dict.fromkeys([*roles.dims, *roles.tags]), F.col(roles.target).cast("int").alias("y"),
+                     key_hash(F.col(roles.key), "fold").alias("h"))
+    rows = attach(expand(slim, Roles(roles.key, "y", (), roles.dims, roles.tags), **shape), segs, SEG)
+    return cuts(rows, [*SEG, "y"], "h", fold_starts(FOLDS))
+
+
+def _with_codes(df: DataFrame, roles: Roles, codes: dict[tuple[str, str], int], begins: DataFrame, full: bool,
                 dims: bool, tags: bool) -> tuple[DataFrame, int]:
-    """Columns ``s_i`` with the model code of each segment a row belongs to (null: none)."""
+    """Columns ``s_i`` with the model code of each segment a row belongs to (null: none), ``fold_i`` with its fold there.
+
+    ``begins`` has the cuts of the segments with folds; rows of others are in fold 0.
+    """
     spark = df.sparkSession
+    starts: dict[tuple[str, str], list] = {}
+    for r in begins.collect():
+        starts.setdefault((r["segment_dim"], r["segment_name"]), [[], []])[r["y"]] = list(r["cuts"])
+    none = [[], []]
+    fold = lambda c: fold_of("_h", f"IF(_y = 1, {c}[1], {c}[0])")
+    df = df.withColumns({"_h": key_hash(F.col(roles.key), "fold"), "_y": F.col(roles.target).cast("int")})
     by_dim: dict[str, dict[str, int]] = {}
     for (dim, name), code in codes.items():
         by_dim.setdefault(dim, {})[name] = code
     cols: dict[str, Column] = {}
     if full and ALL in by_dim:
+        df = df.withColumn("_c", _arrays(starts.get((ALL, ALL), none))).withColumn("fold_0", fold("_c")).drop("_c")
         cols["s_0"] = F.lit(float(by_dim[ALL][ALL]))
     i = len(cols)
     for d in roles.dims if dims else ():
         if d in by_dim:
-            table = local(spark, [(n, float(c)) for n, c in by_dim[d].items()], f"_g_{i} string, s_{i} double")
-            df = df.join(F.broadcast(table), F.col(d).cast("string") == F.col(f"_g_{i}"), "left").drop(f"_g_{i}")
+            table = local(spark, [(n, float(c), starts.get((d, n), none)) for n, c in by_dim[d].items()],
+                          f"_g_{i} string, s_{i} double, _c array<array<bigint>>")
+            table = F.broadcast(table) if is_pinned(table) else table
+            df = df.join(table, F.col(d).cast("string") == F.col(f"_g_{i}"), "left").withColumn(f"fold_{i}", fold("_c")).drop(f"_g_{i}", "_c")
             i += 1
     for t in roles.tags if tags else ():
         code = by_dim.get(TAG_DIM, {}).get(tag_name(t))
         if code is not None:
+            held = _arrays(starts.get((TAG_DIM, tag_name(t)), none))
+            df = df.withColumn("_c", held).withColumn(f"fold_{i}", fold("_c")).drop("_c")
             cols[f"s_{i}"] = F.when(F.col(t) == 1, F.lit(float(code)))
             i += 1
     return df.withColumns(cols) if cols else df, i
 
 
+def _arrays(values: list[list[int]]) -> Column:
+    return F.array(*[F.array(*[F.lit(x).cast("bigint") for x in v]).cast("array<bigint>") for v in values])
+
+
 def _sums(n_codes: int, n_feats: int, params: dict, state: dict):
     """Partition function: partial log-loss gradients and Hessians per (code, model)."""
     codes = [f"s_{i}" for i in range(n_codes)]
@@ -97,9 +123,8 @@ def _sums(n_codes: int, n_feats: int, params: dict, state: dict):
         for pdf in batches:
             x_all = pdf[feats].to_numpy(dtype=float)
             y_all = pdf["y"].to_numpy(dtype=float)
-            fold_all = pdf["fold"].to_numpy()
-            for c in codes:
-                member = pdf[c].to_numpy(dtype=float)
+            for i, c in enumerate(codes):
+                member, fold_all = pdf[c].to_numpy(dtype=float), pdf[f"fold_{i}"].to_numpy()
                 for code in np.unique(member[~np.isnan(member)]).astype(int):
                     if code not in params:
                         continue
@@ -237,10 +262,11 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
         ledger = (attach(ledger, few, SEG, "left")
                   .withColumn("skip_reason", F.coalesce("skip_reason", "_few")).drop("_few"))
 
-    coded, n_codes = _with_codes(df, roles, {names[c][:2]: c for c in names}, full, dims, tags)
+    folded = local(spark, [names[c][:2] for c in names if len(models[c]) > 1], "segment_dim string, segment_name string")
+    begins = fold_cuts(df, roles, folded, **shape)
+    coded, n_codes = _with_codes(df, roles, {names[c][:2]: c for c in names}, begins, full, dims, tags)
     rows = coded.select(F.col(roles.target).cast("int").alias("y"),
-                     fold_of(F.col(roles.key), FOLDS).alias("fold"),
-                     *[f"s_{i}" for i in range(n_codes)],
+                     *[f"{c}_{i}" for i in range(n_codes) for c in ("s", "fold")],
                      *[clean_double(F.col(f)).alias(f"f_{i}") for i, f in enumerate(feats)])
     solved: dict = {}
     why: dict = {}
@@ -282,18 +308,19 @@ def fit_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: bool =
     table = local(
         spark, lines, "segment_dim string, segment_name string, model int, auc_type string, n bigint, "
                "n_bad bigint, base double, slope array<double>, fill array<double>")
-    return SegmentModels(coefs, _segment_auc(df, roles, table, shape), ledger)
+    return SegmentModels(coefs, _segment_auc(df, roles, table, begins, shape), ledger)
 
 
-def _segment_auc(df: DataFrame, roles: Roles, lines: DataFrame, shape: dict) -> DataFrame:
+def _segment_auc(df: DataFrame, roles: Roles, lines: DataFrame, begins: DataFrame, shape: dict) -> DataFrame:
     """Mean fold AUC where cross-validated, training AUC elsewhere."""
-    from risklens.operators.segments import expand
     feats = [f"f_{i}" for i in range(len(roles.features))]
     slim = df.select(*dict.fromkeys([*roles.dims, *roles.tags]),
                      F.col(roles.target).cast("int").alias("y"),
-                     fold_of(F.col(roles.key), FOLDS).alias("fold"),
+                     key_hash(F.col(roles.key), "fold").alias("h"),
                      *[clean_double(F.col(f)).alias(n) for f, n in zip(roles.features, feats)])
     rows = expand(slim, Roles(roles.key, "y", (), roles.dims, roles.tags), **shape)
+    rows = attach(rows, derived(begins, begins.select(*SEG, "y", "cuts")), [*SEG, "y"], "left").withColumn(
+        "fold", F.coalesce(fold_of("h", "cuts"), F.lit(0)))
     table = lines
     hit = attach(rows, table, SEG).where((F.col("model") == -1) | (F.col("model") == F.col("fold")))
     score = "base" + "".join(f" + slope[{i}] * coalesce({f}, fill[{i}])" for i, f in enumerate(feats))

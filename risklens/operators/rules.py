@@ -20,12 +20,12 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from risklens.config import GATES, RULES, Roles
-from risklens.functions.hashing import in_sample
 from risklens.functions.labels import stability_grade, suggested_use, wilson
 from risklens.operators.quantiles import SMALL_N, group_median, running_total
 from risklens.operators.ranking import bucket_sql, grid_edges
 from risklens.operators.segments import SEG, clean_double, expand, segment_sizes
 from risklens.operators.small import attach, derived, is_pinned, local, pin
+from risklens.operators.strata import cuts, key_hash, share_start
 
 NULL_GROUP = "(missing)"
 CONDITION = "struct<feature:string,op:string,threshold:double>"
@@ -45,23 +45,31 @@ def split_segments(df: DataFrame, roles: Roles, *, full: bool = True, dims: tupl
         "eval_scope", F.when(enough, "holdout").otherwise("in_sample")))
 
 
-def split_rows(df: DataFrame, roles: Roles, segs: DataFrame, *, full: bool = True,
-               dims: tuple[str, ...] = (), holdout: float = RULES.holdout_ratio) -> DataFrame:
-    """(SEG, y, train, test, x[]) of every row of the given segments.
+def held_out(rows: DataFrame, share: float) -> DataFrame:
+    """``rows`` (SEG, y, eval_scope, h) with ``out``: the first ``share`` of each segment's class by hash.
 
-    The side of a row depends on its key alone, so train and test never mix between runs or
-    segments; in-sample segments use every row on both sides.
+    Classes keep their proportions, to the row; a row's side is the same on every run. Nothing is held out in
+    segments evaluated in sample.
     """
+    split = rows.where("eval_scope = 'holdout'")
+    ends = cuts(split, [*SEG, "y"], "h", share_start(share))
+    rows = attach(rows, derived(ends, ends.select(*SEG, "y", F.col("cuts")[0].alias("_end"))), [*SEG, "y"], "left")
+    return rows.withColumn("out", F.coalesce((F.col("eval_scope") == "holdout") & (F.col("h") < F.col("_end")), F.lit(False))).drop("_end")
+
+
+def split_rows(df: DataFrame, roles: Roles, segs: DataFrame, *, full: bool = True,
+               dims: tuple[str, ...] = (), holdout: float = RULES.holdout_ratio) -> DataFrame:
+    """(SEG, y, train, test, x[]) of every row of the given segments; in-sample segments use every row on both sides."""
     x = F.array(*[clean_double(F.col(f)) for f in roles.features])
     slim = df.where(F.col(roles.target).isNotNull()).select(
         *dict.fromkeys(dims), F.col(roles.target).cast("int").alias("y"),
-        in_sample(F.col(roles.key), holdout).alias("_out"), x.alias("x"))
+        key_hash(F.col(roles.key), "holdout").alias("h"), x.alias("x"))
     r = Roles(roles.key, "y", (), tuple(dims))
     rows = attach(expand(slim, r, full=full, tags=False, null_group=NULL_GROUP),
                   derived(segs, segs.select(*SEG, "eval_scope")), SEG)
-    whole = F.col("eval_scope") == "in_sample"
-    return rows.select(*SEG, "y", (whole | ~F.col("_out")).alias("train"),
-                       (whole | F.col("_out")).alias("test"), "x")
+    rows, whole = held_out(rows, holdout), F.col("eval_scope") == "in_sample"
+    return rows.select(*SEG, "y", (whole | ~F.col("out")).alias("train"),
+                       (whole | F.col("out")).alias("test"), "x")
 
 
 def _exploded(rows: DataFrame, features: list[str]) -> DataFrame:

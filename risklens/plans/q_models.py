@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from risklens.config import Roles
 from risklens.functions import labels
 from risklens.functions.hashing import in_sample
 from risklens.operators import logistic as L, ranking as R, rules as RU, segments as S
+from risklens.operators.strata import fold_of, key_hash
 from risklens.plans import oracle as O
 from risklens.plans.catalog import query, r, rounded
 from risklens.plans.workspace import DERIVED, MODEL_FEATURES, MODEL_ROLES, ROLES, Workspace
@@ -13,6 +15,10 @@ K = O.K
 WIDE = O.with_(O.WIDE)
 
 
+def _hash(salt: str) -> str:
+    return f"CAST('0x' || SUBSTR(MD5(CAST(c_custkey AS VARCHAR) || '|{salt}'), 1, 15) AS BIGINT)"
+
+
 @query("f1_lr_by_group")
 def lr_by_group(ws: Workspace):
     return ws.lr.coefs.where(~F.col("segment_dim").isin("__tag__", "__all__"))
@@ -43,6 +49,19 @@ def auc_types(ws: Workspace):
     return ws.lr.auc.select(*S.SEG, "n", "n_bad", "auc_type")
 
 
+@query("f3_fold_sizes", O.with_(O.WIDE, O.seg(), O.sizes()) + f"""SELECT segment_dim, segment_name, y, fold, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys
+FROM (SELECT segment_dim, segment_name, is_bad AS y, c_custkey, CAST(len([i FOR i IN RANGE(1, 5) IF rn - 1 >= i * n_class // 5]) AS INTEGER) AS fold FROM (
+  SELECT seg.*, COUNT(*) OVER (PARTITION BY seg.segment_dim, seg.segment_name, is_bad) AS n_class,
+    ROW_NUMBER() OVER (PARTITION BY seg.segment_dim, seg.segment_name, is_bad ORDER BY {_hash('fold')}) AS rn
+  FROM seg JOIN sizes USING (segment_dim, segment_name) WHERE n >= 200 AND n_bad >= 30)) GROUP BY 1, 2, 3, 4""")
+def fold_sizes(ws: Workspace):
+    segs = S.segment_sizes(ws.wide, ROLES).where("n >= 200 AND n_bad >= 30").select(*S.SEG)
+    begins = L.fold_cuts(ws.wide, ROLES, segs)
+    slim = ws.wide.select("c_custkey", *ROLES.dims, *ROLES.tags, F.col("is_bad").alias("y"), key_hash(F.col("c_custkey"), "fold").alias("h"))
+    rows = S.expand(slim, Roles("c_custkey", "y", (), ROLES.dims, ROLES.tags)).join(begins, [*S.SEG, "y"])
+    return rows.groupBy(*S.SEG, "y", fold_of("h", "cuts").alias("fold")).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+
+
 _auc_features = ("n_lines", "c_acctbal", "open_orders", "ev_cnt")
 
 
@@ -72,10 +91,16 @@ def complete_case_lr(ws: Workspace):
 
 # ---- rules -----------------------------------------------------------------------------------
 
-@query("g1_holdout_split", WIDE + "SELECT c_custkey, CAST('0x' || SUBSTR(MD5(CAST(c_custkey AS VARCHAR) || '|holdout'), 1, 8) "
-       "AS BIGINT) < CAST(FLOOR(0.3 * 4294967296) AS BIGINT) AS held_out FROM wide")
+@query("g1_holdout_split", O.with_(O.WIDE, O.seg(True, ("c_mktsegment",), ())) + f"""SELECT segment_dim, segment_name, c_custkey,
+n_bad * 0.3 >= 10 AND n_bad * 0.7 >= 20 AND rn <= FLOOR(n_class * 0.3 + 0.5) AS held_out FROM (SELECT *, COUNT(*) OVER s AS n, SUM(is_bad) OVER s AS n_bad,
+  COUNT(*) OVER c AS n_class, ROW_NUMBER() OVER (PARTITION BY segment_dim, segment_name, is_bad ORDER BY {_hash('holdout')}) AS rn FROM seg
+  WINDOW s AS (PARTITION BY segment_dim, segment_name), c AS (PARTITION BY segment_dim, segment_name, is_bad)) WHERE segment_dim = '__all__' OR n >= 50""")
 def holdout_split(ws: Workspace):
-    return ws.wide.select("c_custkey", in_sample(F.col("c_custkey"), 0.3).alias("held_out"))
+    dims = ("c_mktsegment",)
+    segs = RU.split_segments(ws.wide, ROLES, dims=dims)
+    slim = ws.wide.select("c_custkey", "c_mktsegment", F.col("is_bad").alias("y"), key_hash(F.col("c_custkey"), "holdout").alias("h"))
+    rows = S.expand(slim, Roles("c_custkey", "y", (), dims), full=True, tags=False).join(segs.select(*S.SEG, "eval_scope"), S.SEG)
+    return RU.held_out(rows, 0.3).select(*S.SEG, "c_custkey", F.col("out").alias("held_out"))
 
 
 @query("g1_split_scope", O.with_(O.WIDE, O.seg(tags=()), O.sizes()) +
