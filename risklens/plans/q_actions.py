@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from risklens.config import THRESHOLDS as T
 from risklens.functions import labels
 from risklens.operators import thresholds as TH, triggers as TR
 from risklens.operators.quantiles import group_median
@@ -74,10 +75,34 @@ def pre_bins(ws: Workspace):
     return rounded(TH.pre_bins(rows), ("x_min", "x_max", "hi"))
 
 
-@query("h2_merged_bins")
+def _best_bins() -> list[str]:
+    """CTEs up to ``chosen``(K, m, cuts): the best monotone grouping of the pre-bins, one CTE for each number of bins."""
+    g, b = "GREATEST(y.cn - x.cn - (y.cb - x.cb), 0.5) / CAST(t - tb AS DOUBLE)", "GREATEST(y.cb - x.cb, 0.5) / CAST(tb AS DOUBLE)"
+    ctes = [
+        f"pos AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY {K} ORDER BY bin) AS j FROM pre)",
+        f"brd AS MATERIALIZED (SELECT {K}, j, SUM(n) OVER w AS cn, SUM(n_bad) OVER w AS cb FROM pos WINDOW w AS (PARTITION BY {K} ORDER BY j) "
+        f"UNION ALL SELECT DISTINCT {K}, 0, 0, 0 FROM pos)",
+        f"ends AS MATERIALIZED (SELECT {K}, MAX(j) AS m, MAX(cn) AS t, MAX(cb) AS tb FROM brd GROUP BY {K})",
+        f"sg AS MATERIALIZED (SELECT {K}, x.j AS i, y.j AS j, (y.cb - x.cb) / CAST(y.cn - x.cn AS DOUBLE) AS rate, ({g} - {b}) * LN(({g}) / ({b})) AS v "
+        f"FROM brd x JOIN brd y USING ({K}) JOIN ends USING ({K}) WHERE x.j < y.j AND y.cn - x.cn >= {T.min_bin_share!r} * t)",
+        f"l1 AS MATERIALIZED (SELECT {K}, sign, j, rate, v AS iv, [0, j] AS cuts FROM sg, (VALUES (1), (-1)) AS s(sign) WHERE i = 0)"]
+    for k in range(2, T.max_bins + 1):
+        ctes.append(f"l{k} AS MATERIALIZED (SELECT {K}, sign, sg.j, sg.rate, MAX(iv + v) AS iv, ARG_MAX(LIST_APPEND(cuts, sg.j), iv + v) AS cuts FROM l{k - 1} l JOIN sg USING ({K}) "
+                    f"WHERE sg.i = l.j AND sign * (sg.rate - l.rate) > 0 GROUP BY {K}, sign, sg.i, sg.j, sg.rate)")
+    every = " UNION ALL ".join(f"SELECT * FROM l{k}" for k in range(2, T.max_bins + 1))
+    ctes.append(f"chosen AS MATERIALIZED (SELECT {K}, m, COALESCE(cuts, [0, m]) AS cuts FROM ends LEFT JOIN (SELECT {K}, cuts FROM ({every}) JOIN ends USING ({K}) "
+                f"WHERE j = m AND iv > 1e-12 QUALIFY ROW_NUMBER() OVER (PARTITION BY {K} ORDER BY ROUND(iv, 10) DESC, sign DESC, LEN(cuts)) = 1) USING ({K}))")
+    return ctes
+
+
+@query("h2_merged_bins", O.with_(*BASE, *PRE, *_best_bins()) + f"""SELECT {K}, CAST(e - 1 AS INTEGER) AS bin, ROUND(CASE WHEN e > 1 THEN low.hi END, 6) AS lo,
+ROUND(CASE WHEN u < m THEN top.hi END, 6) AS hi, CAST(y.cn - x.cn AS BIGINT) AS n, CAST(y.cb - x.cb AS BIGINT) AS n_bad
+FROM (SELECT {K}, m, UNNEST(RANGE(1, LEN(cuts))) AS e, UNNEST(cuts[1:LEN(cuts) - 1]) AS f, UNNEST(cuts[2:]) AS u FROM chosen)
+JOIN (SELECT {K}, j AS f, cn, cb FROM brd) x USING ({K}, f) JOIN (SELECT {K}, j AS u, cn, cb FROM brd) y USING ({K}, u)
+LEFT JOIN (SELECT {K}, j AS f, hi FROM pos) low USING ({K}, f) LEFT JOIN (SELECT {K}, j AS u, hi FROM pos) top USING ({K}, u)""")
 def merged_bins(ws: Workspace):
     *_, rows = _rows(ws)
-    return TH.merged_bins(TH.pre_bins(rows))
+    return rounded(TH.merged_bins(TH.pre_bins(rows)), ("lo", "hi"))
 
 
 MODES = f"""modes AS (SELECT {K}, x AS mode_x, n_valid, n_mode FROM (SELECT {K}, x, COUNT(*) AS n_mode, SUM(COUNT(*)) OVER (PARTITION BY {K})

@@ -203,3 +203,39 @@ def test_ratings(spark):
     df = spark.createDataFrame(rows, "iv double, c double, s boolean, want string")
     for r in df.select("want", labels.rate_feature(F.col("iv"), F.col("c"), F.col("s")).alias("got")).collect():
         assert r.got == r.want
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merged_bins_equal_the_best_of_all_groupings(seed):
+    """Twelve pre-bins: all 2,048 groupings are tried."""
+    import itertools
+    import math
+    r = np.random.default_rng(seed)
+    m = 12
+    n = r.integers(10, 60, m)
+    rate = np.sort(r.uniform(0.02, 0.6, m)) if seed % 2 else r.uniform(0.02, 0.6, m)
+    bad = r.binomial(n, rate if seed % 3 else rate[::-1])
+    pdf = pd.DataFrame({"segment_dim": "d", "segment_name": "s", "feature": "f", "bin": range(m), "n": n, "n_bad": bad,
+                        "hi": [*range(1, m), np.nan]})
+    got = TH._merge(pdf.sample(frac=1, random_state=seed))
+    tg, tb = n.sum() - bad.sum(), bad.sum()
+
+    def iv(groups):
+        total = 0.0
+        for g in groups:
+            b, a = max(bad[g].sum(), 0.5), max((n[g] - bad[g]).sum(), 0.5)
+            total += (a / tg - b / tb) * math.log((a / tg) / (b / tb))
+        return total
+
+    best = 0.0
+    for k in range(1, TH._MAX_BINS):
+        for cuts in itertools.combinations(range(1, m), k):
+            groups = [slice(a, b) for a, b in zip((0, *cuts), (*cuts, m))]
+            rates = [bad[g].sum() / n[g].sum() for g in groups]
+            steps = np.diff(rates)
+            if all(n[g].sum() >= TH._MIN_SHARE * n.sum() for g in groups) and ((steps > 0).all() or (steps < 0).all()):
+                best = max(best, iv(groups))
+    ends = np.cumsum(got.n.to_numpy())
+    at = [0, *[int(np.searchsorted(np.cumsum(n), e)) + 1 for e in ends]]
+    assert iv([slice(a, b) for a, b in zip(at, at[1:])]) == pytest.approx(best, abs=1e-9)
+    assert got.n_bad.sum() == bad.sum() and len(got) <= TH._MAX_BINS
