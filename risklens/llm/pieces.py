@@ -2,22 +2,26 @@
 
 The best segmentation of a text is the one whose pieces have the largest sum of the scores in the
 model file; of equal sums the one found with the longer last piece. The search goes through the text
-once and keeps only a window bounded by the longest piece: as soon as all paths that can still be
-extended meet at one boundary, the ids up to it are committed. Characters outside the vocabulary
+once; new scores depend on a window bounded by the longest piece. Where all paths that can still be
+extended meet at one boundary, the ids up to it are committed and their back pointers dropped. The paths of
+a run of one character may not meet before its end; the search for a boundary waits until the open part has
+doubled, so time is linear for any text, and what is kept for an open part is one number a character. Characters outside the vocabulary
 become their UTF-8 byte pieces, and so does a literal U+2581, the character that stands for a space
 inside pieces; decoding therefore gives every text back exactly.
 
 No piece goes on from a non-space to a space, from a word to a mark, or over a line feed, so all paths
 meet there; the text is searched unit by unit, and frequent short units are looked up.
 
-Null text counts as empty and has no ids. Rows are encoded one by one, so repeated rows give repeated
-results; all other columns but doc_id are left out.
+Null text counts as empty and has no ids; a very long text is one row like any other. Rows are encoded one by
+one, so repeated rows and ties of doc_id give repeated results; an empty table gives none. All columns but
+doc_id and text, also those with clashing names, are left out.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,8 +36,10 @@ SPACE = "▁"
 #: Units in each of two generations that are looked up.
 CACHE = 300_000
 CACHED_LENGTH = 48
-#: Characters after which the paths are searched for a common boundary.
+#: Characters after which the paths are first searched for a common boundary.
 CHECK = 256
+#: Windows of a long text whose pieces are kept.
+WINDOWS = 4096
 NEVER = float("-inf")
 
 
@@ -95,9 +101,10 @@ class Vocabulary:
         """Ids of the best segmentation of ``text``."""
         prefix, ids, longest, out = self._prefix.get, self.ids, self.longest, []
         # best[k], back[k]: best path to position base + k, and where its last piece begins (0 = base).
-        base, reach, n = 0, 0, len(text)
+        base, reach, look, n = 0, 0, CHECK, len(text)
         room = [NEVER] * (min(n, CHECK) + longest)
         best, back = [0.0, *room], [0] * (len(room) + 1)
+        known: dict[str, list[tuple[int, float]]] = {}  # in long texts windows repeat
 
         def commit(to: int) -> None:
             """Emit the pieces up to position base + to."""
@@ -113,16 +120,18 @@ class Vocabulary:
 
         for i in range(n):
             k = i - base
-            if k >= CHECK:
+            if k >= look:
                 joint = k if i == reach else self._joint(back, [p for p in range(k, reach - base + 1) if best[p] > NEVER], k)
                 if joint:
                     commit(joint)
                     base, k = base + joint, k - joint
-                    best = [*best[joint:], *room]
-                    back = [*[max(0, x - joint) for x in back[joint:]], *[0] * len(room)]
-                elif len(best) < k + longest + 1:
-                    best += room
-                    back += [0] * len(room)
+                    best = best[joint:]
+                    back = [max(0, x - joint) for x in back[joint:]]
+                # Each look goes back over what is open, so the next one waits until that has doubled.
+                look = max(CHECK, 2 * k)
+            if len(best) <= k + longest:
+                best += room
+                back += [0] * len(room)
             here, at = best[k], k
             if prefix(text[i]) is None:  # not a piece of its own
                 total = here + self.unknown
@@ -130,6 +139,18 @@ class Vocabulary:
                     best[k + 1], back[k + 1] = total, k
                 if i >= reach:
                     reach = i + 1
+            if n >= CHECK:
+                window = text[i:i + longest]
+                if (found := known.get(window)) is None:
+                    found = self._begun(window)
+                    if len(known) < WINDOWS:
+                        known[window] = found
+                for size, score in found:
+                    if here + score > best[k + size]:
+                        best[k + size], back[k + size] = here + score, k
+                if found and i + found[-1][0] > reach:
+                    reach = i + found[-1][0]
+                continue
             for j in range(i + 1, n + 1):
                 score = prefix(text[i:j], False)
                 if score is False:
@@ -145,14 +166,26 @@ class Vocabulary:
             commit(n - base)
         return out
 
+    def _begun(self, window: str) -> list[tuple[int, float]]:
+        """Lengths and scores of the pieces that a window begins with, by length."""
+        found = []
+        for size in range(1, len(window) + 1):
+            score = self._prefix.get(window[:size], False)
+            if score is False:
+                break
+            if score is not None:
+                found.append((size, score))
+        return found
+
     @staticmethod
     def _joint(back: list[int], ends: list[int], k: int) -> int:
         """The last position, k at most, that all paths to ``ends`` go through."""
-        alive = set(ends)
+        alive = sorted(set(ends))
         while len(alive) > 1:
-            top = max(alive)
-            alive.remove(top)
-            alive.add(back[top])
+            before = back[alive.pop()]
+            at = bisect_left(alive, before)
+            if at == len(alive) or alive[at] != before:
+                alive.insert(at, before)
         return min(alive.pop(), k)
 
     def decode(self, ids: list[int]) -> str:

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -250,3 +251,39 @@ def test_reliabilities_follow_agreeing_labelers():
     truth = private_data.reliabilities({(3, 1, 1, 1, 1): 500, (3, -1, -1, -1, 1): 500, (3, 0, 0, 1, 1): 20, (3, 0, 0, -1, 1): 3})
     assert truth[3, 1, 1, 1, 1] > 0.95 and truth[3, -1, -1, -1, 1] < 0.05
     assert truth[3, 0, 0, 1, 1] > 0.9 and truth[3, 0, 0, -1, 1] < 0.1
+
+
+@pytest.mark.parametrize("unit", [" ", "-", "a", "T", "ab", "-" * 50 + "a" * 40 + " " * 30 + "\n"])
+def test_viterbi_is_linear_on_long_runs(unit):
+    """Twice the length takes about twice the time, also where paths don't meet; ids decode to the text."""
+    def seconds(n):
+        text = unit * (n // len(unit))
+        start = time.process_time()
+        ids = pieces.encode_text(text, PATH)
+        took = time.process_time() - start
+        assert pieces._loaded(PATH)[0].decode(ids.tolist()) == text
+        return took
+    seconds(1000)
+    assert seconds(1_000_000) < 30 * max(seconds(100_000), 0.05)
+
+
+def plain_viterbi(v, text):
+    """The best sum of scores, over all positions at once."""
+    best = [0.0] + [float("-inf")] * len(text)
+    for i in range(len(text)):
+        for j in range(i + 1, min(len(text), i + v.longest) + 1):
+            score = v.scores.get(text[i:j], v.unknown if j == i + 1 else None)
+            if score is not None and best[i] + score > best[j]:
+                best[j] = best[i] + score
+    return best[-1]
+
+
+def test_runs_past_the_first_look_are_optimal():
+    v = pieces.Vocabulary(PATH)
+    r = random.Random(8)
+    score = {i: s for p, s in v.scores.items() for i in [v.ids[p]]}
+    for unit in ("a", " ", "-", "ab", "=-", "the", None):
+        text = (unit * 700)[:700] if unit else "".join(r.choice("aab- eth") for _ in range(700))
+        ids = v.viterbi(text)
+        assert v.decode([v.ids[" "], *ids]) == text
+        assert sum(score[i] for i in ids) == pytest.approx(plain_viterbi(v, text))
