@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from risklens.sources import results as RS, tables as T
@@ -70,3 +72,49 @@ def test_bytes_that_nothing_decodes_are_read(spark):
     assert T.detect_encoding(spark, f"{folder}/odd.csv") == "iso-8859-1"
     assert T.read_csv(spark, f"{folder}/odd.csv").count() == 2
     assert T.read_csv(spark, f"{folder}/odd.csv", encoding="utf-8").count() == 2
+
+
+def csv_rows(n):
+    """Header and rows with quoted commas, doubled quotes, line breaks and quotes inside unquoted fields."""
+    notes = ['plain', 'a, b', 'say "hi"', 'two\nlines', '大型\n"客户"\n\n末', '5" pipe', '', '\n', '"', 'x' * 90]
+    return ["id", "note", "v"], [(f"{i:04d}", notes[i % len(notes)], i) for i in range(n)]
+
+
+def write_csv(path, rows, encoding, quote_all=False):
+    import csv
+    with open(path, "w", encoding=encoding, newline="") as f:
+        w = csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_ALL if quote_all else csv.QUOTE_MINIMAL)
+        w.writerow(rows[0])
+        w.writerows(rows[1])
+
+
+@pytest.mark.parametrize("encoding,part", [("gbk", None), ("gbk", "23b"), ("utf-8", "64b"), ("utf-8-sig", "64b")])
+def test_quoted_line_breaks_in_parts(spark, encoding, part):
+    """Every size of the parts, also those smaller than a record, gives the rows that the csv module reads."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = csv_rows(12)
+    for name in ("a", "b"):
+        write_csv(f"{folder}/{name}.csv", rows, encoding, quote_all=name == "b")
+    if part:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    try:
+        for path, times in ((f"{folder}/a.csv", 1), (folder, 2)):
+            got = T.read_csv(spark, path, keys=("id",)).select("id", "note", "v").collect()
+            wanted = sorted([(i, n or None, v) for i, n, v in rows[1]] * times)
+            assert sorted(((r.id, r.note, r.v) for r in got)) == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unquoted_files_stay_with_the_reader(spark):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    write_csv(f"{folder}/a.csv", (["id", "note"], [("1", 'a "b"'), ("2", "c")]), "utf-8")
+    assert "ArrowEval" not in T.read_csv(spark, f"{folder}/a.csv")._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in T.read_csv(spark, f"{folder}/a.csv").collect()) == [(1, 'a "b"'), (2, "c")]
+
+
+@pytest.mark.parametrize("line,start,end", [(b"a,b", False, False), (b'a,"b', False, True), (b'b",c', True, False), (b'5" x,"y', False, True),
+                                            (b'""', True, True), (b'"', True, False), (b'"""', False, True), (b'"a""b",c', False, False),
+                                            (b'x","y', True, True), (b"", True, True), (b'a "b', False, False)])
+def test_states_of_lines(line, start, end):
+    assert T._ends_open(line, start) == end
