@@ -5,17 +5,18 @@ all words by weight; a target stops at ``limit`` times its source's words and th
 again until none is above. A document's expected copies are its source's target over its source's
 words. The whole part is fixed; fractional parts are paired: words are moved at random from one to the
 other until one is a whole number, the other goes on to the next pair. Expected copies stay as they
-are, and so does the sum of words of each pair. The one document that stays open is drawn, and
-documents of its group that were rounded the same way are turned as long as they fit into the words
-it adds or lacks, so that a source misses its target by less than the words of a small document.
+are, and so does the sum of words of each pair.
 
 Pairs are formed within groups of about ``GROUP`` documents, what each group leaves open is combined
-in groups of groups, up to one open document for each source, which is drawn. Draws are hashes of
-the row, so reruns agree. Rows that agree in all key columns are one unit of the sum of their copies,
-which are then dealt evenly among them.
+in groups of groups, up to one last group for each source. There a document's partner is all smaller open ones
+together, so that a source misses its target by the words of a small document where it has enough of them.
+Draws are hashes of the row, so reruns agree. Rows that agree in all key columns are one unit of the sum of
+their copies, which are then dealt evenly among them.
 
 Null text counts as empty, and documents of no words take part with one word's weight. A null source
-is a source. Without words all targets are 0.
+is a source. Without words all targets are 0. A very long text is a document of many words like any other. Ties of
+size are taken in the order of the draws. An empty table gives no rows. ``expand`` keeps all columns, whatever
+their names; ``taken`` reads doc_id, source and text only.
 """
 
 from __future__ import annotations
@@ -91,17 +92,35 @@ def _uniform(raw: np.ndarray) -> np.ndarray:
     return (raw >> np.uint64(11)).astype(float) / 2.0 ** 53
 
 
-def _balanced(size: np.ndarray, part: np.ndarray, expected: np.ndarray, over: float, drawn: int) -> np.ndarray:
-    """Make up for the ``over`` words that the draw of the last open document adds (or lacks).
+def _settled(size: np.ndarray, part: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """Round all of the last group's parts.
 
-    Documents that were rounded the same way are rounded the other way, in the given order, as long
-    as they are not larger than what is left over.
+    From the largest on, each document is paired with all smaller open ones together. These give or take
+    words in proportion to how far their parts are from 0 and 1, the same for either outcome, until the
+    document or one of them is a whole number. So many small documents make up for a large one, and
+    expected copies stay; only the last open document is drawn without a partner.
     """
-    from_, to = (1.0, 0.0) if over > 0 else (0.0, 1.0)
-    left = abs(over)
-    for i in np.flatnonzero((expected > 0) & (expected < 1) & (part == from_)):
-        if i != drawn and size[i] <= left:
-            part[i], left = to, left - size[i]
+    part, order = part.copy(), np.argsort(-size, kind="stable")
+    for at, i in enumerate(order):
+        step = 0
+        while 0.0 < part[i] < 1.0:
+            step += 1
+            draw = float(_uniform(mix(raw[i:i + 1] + np.uint64(step)))[0])
+            rest = order[at + 1:]
+            rest = rest[(part[rest] > 0.0) & (part[rest] < 1.0)]
+            if not len(rest):
+                part[i] = float(draw < part[i])
+                break
+            slack = np.minimum(part[rest], 1.0 - part[rest])
+            words = float((size[rest] * slack).sum())
+            fill, empty = size[i] * (1 - part[i]), size[i] * part[i]
+            up, down = min(fill, words), min(empty, words)
+            if draw * (up + down) < down:
+                part[i] = 1.0 if up == fill else part[i] + up / size[i]
+                part[rest] = np.where((up == words) & (part[rest] <= 0.5), 0.0, part[rest] - slack * (up / words))
+            else:
+                part[i] = 0.0 if down == empty else part[i] - down / size[i]
+                part[rest] = np.where((down == words) & (part[rest] >= 0.5), 1.0, part[rest] + slack * (down / words))
     return part
 
 
@@ -130,12 +149,7 @@ def copies(units: DataFrame, keys: list[str], seed: int = 7, **options) -> DataF
             group = group.take(pa.array(order))
             size = np.maximum(col("size"), 1).astype(float)
             raw = mix(col("_draw").view(np.uint64) + np.uint64(level * 7919 + 1))
-            part, held = _pivot(size, col("_part"), _uniform(raw))
-            if held >= 0 and last:
-                extra = float(_uniform(mix(raw[held:held + 1] + np.uint64(1)))[0] < part[held])
-                over, part[held] = size[held] * (extra - part[held]), extra
-                part = _balanced(size, part, col("_part"), over, held)
-                held = -1
+            part, held = (_settled(size, col("_part"), raw), -1) if last else _pivot(size, col("_part"), _uniform(raw))
             open_ = np.zeros(len(part), dtype=bool)
             if held >= 0:
                 open_[held] = True

@@ -57,6 +57,19 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark, monkeypatch, group):
     assert whole.agg(F.sum("n_chars")).first()[0] == pytest.approx(2 * sum(r.taken for r in first), rel=0.02)
 
 
+@pytest.mark.parametrize("group,draws,off", [(2048, 10_000, 0.02), (8, 2_000, 0.04)])
+def test_copies_keep_expectations(spark, monkeypatch, group, draws, off):
+    """Each of twenty documents is taken as often as expected in all draws, small ones like large ones."""
+    monkeypatch.setattr(mixing, "GROUP", group)
+    sizes = [1, 2, 3, 5, 8, 8, 8, 20, 21, 22, 40, 60, 61, 100, 150, 300, 301, 900, 2000, 20000]
+    names = spark.range(draws).select(F.format_string("s%05d", "id").alias("source"))
+    table = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.lit(n).cast("long").alias("size")) for i, n in enumerate(sizes)]))
+    units = names.select("source", table.alias("d")).select("source", "d.k", "d.size", F.lit(1).cast("long").alias("m")).repartition(8)
+    found = mixing.copies(units, ["k"], weights=(1,), budget=0.18)
+    for r in found.groupBy("k").agg(F.avg("copies").alias("taken")).collect():
+        assert abs(r.taken - 0.18) < off, r
+
+
 def test_pivot_keeps_expectations():
     draw = np.random.default_rng(5)
     total = np.zeros(40)
