@@ -17,12 +17,19 @@ from pyspark.sql.types import StructType
 
 MAX_ROWS = 200_000
 MAX_BYTES = 128 << 20
+#: Rows that are fetched without a look at the size of the table before.
+FETCH_ROWS = 4_000
 
 
 def pin(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     spark = df.sparkSession
     max_rows, max_bytes = min(max_rows, MAX_ROWS), min(max_bytes, MAX_BYTES)
-    # Cached rows are counted and measured where they lie; nothing is computed twice.
+    # Most such tables have a few rows: one job fetches them, and no more than the bound of rows.
+    first = min(max_rows, FETCH_ROWS)
+    head = df.limit(first + 1).toArrow()
+    if head.num_rows <= first and head.nbytes <= max_bytes:
+        return _local(spark, head, df.schema)
+    # Others are cached and measured where they lie.
     df.persist()
     cached = df.select("*")  # a new plan, which reads the cache
     rows = cached.count()
@@ -30,9 +37,7 @@ def pin(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) ->
     if rows <= max_rows and size <= max_bytes:
         head = cached.toArrow()
         df.unpersist()
-        local = spark.createDataFrame(head, schema=df.schema)
-        local._pinned_rows = rows
-        return local
+        return _local(spark, head, df.schema)
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         return cached
@@ -43,6 +48,12 @@ def pin(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) ->
     return out
 
 
+def _local(spark: SparkSession, table: pa.Table, schema: StructType) -> DataFrame:
+    out = spark.createDataFrame(table, schema=schema)
+    out._pinned_rows = table.num_rows
+    return out
+
+
 def is_pinned(df: DataFrame) -> bool:
     return getattr(df, "_pinned_rows", None) is not None
 
