@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import csv
 import re
+import sys
 from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -275,3 +277,7 @@ def load_dictionary(tables: DataFrame, fields: DataFrame) -> DataFrame:
     names = tables.groupBy("table_name").agg(F.min("table_title").alias("table_title"))
     return (fields.join(names, "table_name", "left")
             .withColumn("table_title", F.coalesce("table_title", F.lit(""))))
+
+
+# Python workers needn't have the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
