@@ -4,8 +4,8 @@ Tokens are a text's words (A-Z lower-cased) and one end. Texts are dealt into ch
 ``CHUNK`` bytes. A chunk sends its distinct words and word pairs, with their counts in training texts, to
 shards chosen by hash, so a frequent word or pair arrives once from each chunk. A shard adds the
 counts up, builds its part of the trie and answers the same requests in their order; the answers go
-back to the chunks, which score their texts. No model is broadcast, and no task holds more than a chunk
-or a shard.
+back to the chunks, which score their texts. Requests and answers travel in bundles (``exchange``), whose number
+grows with that of the chunks. No model is broadcast, and no task holds more than a chunk or a shard.
 
 A trie has three memory-mapped levels: contexts, monotone pointers to their first successor, and the
 successors, relative to their context and made monotone by its rank. All are Elias-Fano coded; next
@@ -18,8 +18,12 @@ where the weight l depends on the magnitude of c(v) and maximises the likelihood
 when each pair is left out of its own counts. A text's ratios of the two parts are kept as counts of
 log-spaced cells, twenty to a factor of ten, so weights can be fitted after the only pass.
 
+Training texts meet their own counts, so their scores don't compare with those of held-out texts.
+
 Null text counts as empty: its only token is the end. A row whose doc_id is null is a training text
-unless ``train`` says otherwise. Rows that repeat a doc_id are texts of their own.
+unless ``train`` says otherwise. Rows that repeat a doc_id are texts of their own, but rows equal in doc_id and text go
+to one chunk, as a very long text does. Nothing depends on an order, so there are no ties. An empty table gives no
+rows; columns other than doc_id and text, also ones with clashing names, are left out.
 """
 
 from __future__ import annotations
@@ -32,10 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from risklens.llm.exchange import SCHEMA, Routes, dealt, pack, received, unpack
 from risklens.llm.shared import pick, spread, written
 from risklens.llm.words import Words, mix, pair
 
 CHUNK = 9 << 20
+#: Values of a coded level that are decoded together.
+BLOCK = 1 << 16
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOW = np.uint64(0xFFFFFFFF)
 EXACT, STEP = 64, 1.12
@@ -55,7 +62,11 @@ def decode_count(code: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits in place, high bits in unary, one bit for each step."""
+    """A non-decreasing sequence: low bits in place, high bits in unary, one bit for each step.
+
+    Values are read block by block: the place in the high bits where each block begins is kept, so a search
+    never decodes a whole level.
+    """
 
     def __init__(self, values: np.ndarray, universe: int):
         self.n = len(values)
@@ -63,29 +74,53 @@ class EliasFano:
         values = values.astype(np.uint64)
         shifts = np.arange(self.low_bits, dtype=np.uint64)
         low = np.zeros(-(-self.n * self.low_bits // 8), dtype=np.uint8)
-        block = 1 << 16  # low bits of a block fill whole bytes
-        for i in range(0, self.n, block):
-            bits = ((values[i:i + block, None] >> shifts) & np.uint64(1)).astype(np.uint8)
+        for i in range(0, self.n, BLOCK):  # low bits of a block fill whole bytes
+            bits = ((values[i:i + BLOCK, None] >> shifts) & np.uint64(1)).astype(np.uint8)
             packed = np.packbits(bits.ravel(), bitorder="little")
             low[i * self.low_bits // 8:i * self.low_bits // 8 + len(packed)] = packed
-        high = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
-        ones = np.zeros(int(high[-1]) + 1 if self.n else 0, dtype=np.uint8)
-        ones[high] = 1
+        place = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
+        ones = np.zeros(int(place[-1]) + 1 if self.n else 0, dtype=np.uint8)
+        ones[place] = 1
         self.low, self.high = low, np.packbits(ones, bitorder="little")
-
-    def decode(self) -> np.ndarray:
-        out = np.flatnonzero(np.unpackbits(np.asarray(self.high), bitorder="little")).astype(np.int64) - np.arange(self.n)
-        out = out.astype(np.uint64) << np.uint64(self.low_bits)
+        #: Place of the first one of each block, and one past the last.
+        self.begins = np.append(place[::BLOCK], len(ones))
+
+    def block(self, k: int) -> np.ndarray:
+        """The values from ``k * BLOCK`` on, ``BLOCK`` at most."""
+        start, stop = int(self.begins[k]), int(self.begins[k + 1])
+        bits = np.unpackbits(np.asarray(self.high[start // 8:-(-stop // 8)]), bitorder="little")
+        place = np.flatnonzero(bits[start % 8:start % 8 + stop - start]) + start
+        out = (place - k * BLOCK - np.arange(len(place))).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
+            at, m = k * BLOCK * self.low_bits // 8, len(out)
+            bits = np.unpackbits(np.asarray(self.low[at:at + -(-m * self.low_bits // 8)]), bitorder="little")
             weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
-            block = 1 << 16
-            for i in range(0, self.n, block):
-                m = min(block, self.n - i)
-                at = i * self.low_bits // 8
-                bits = np.unpackbits(np.asarray(self.low[at:at + -(-m * self.low_bits // 8)]), bitorder="little")
-                out[i:i + m] |= (bits[:m * self.low_bits].reshape(m, -1) * weights).sum(axis=1, dtype=np.uint64)
+            out |= (bits[:m * self.low_bits].reshape(m, -1) * weights).sum(axis=1, dtype=np.uint64)
         return out
 
+    def at(self, index: np.ndarray) -> np.ndarray:
+        """Values at non-decreasing places."""
+        out = np.empty(len(index), dtype=np.uint64)
+        for k in np.unique(index // BLOCK):
+            i, j = np.searchsorted(index, (k * BLOCK, (k + 1) * BLOCK))
+            out[i:j] = self.block(int(k))[index[i:j] - k * BLOCK]
+        return out
+
+    def successor(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and value of the first element not less than each of the sorted ``wanted``; place n beyond the last."""
+        place, value = np.full(len(wanted), self.n, dtype=np.int64), np.zeros(len(wanted), dtype=np.uint64)
+        i = 0
+        for k in range(len(self.begins) - 1):
+            if i == len(wanted):
+                break
+            values = self.block(k)
+            j = int(np.searchsorted(wanted, values[-1], side="right"))
+            if j > i:
+                at = np.searchsorted(values, wanted[i:j])
+                place[i:j], value[i:j] = at + k * BLOCK, values[at]
+                i = j
+        return place, value
+
 
 class Trie:
     """Counts of (context, successor) keys: the upper and lower 32 bits of sorted 64-bit keys."""
@@ -118,39 +153,17 @@ class Trie:
             setattr(owner, name, whole[at:at + n])
             at += n
 
-    def search(self, requests: list[np.ndarray]) -> list[np.ndarray]:
+    def search(self, keys: np.ndarray) -> np.ndarray:
         """Codes of sorted keys, 0 for those not in the trie."""
-        contexts, pointers, successors = self.contexts.decode(), self.pointers.decode().astype(np.int64), self.successors.decode()
-        out = []
-        for keys in requests:
-            found = np.zeros(len(keys), dtype=np.uint8)
-            if len(successors):
-                context = keys >> np.uint64(32)
-                rank = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-                # The first successor of this context that is not less than the wanted one.
-                wanted = (rank.astype(np.uint64) << np.uint64(32)) | (keys & _LOW)
-                at = np.searchsorted(successors, wanted)
-                inside = (contexts[rank] == context) & (at < pointers[rank + 1])
-                at = np.minimum(at, len(successors) - 1)
-                hit = inside & (successors[at] == wanted)
-                found[hit] = self.codes[at[hit]]
-            out.append(found)
-        return out
-
-
-def _pack(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences of seven bytes where these fit."""
-    step = np.diff(keys, prepend=np.uint64(0))
-    if len(step) and step.max() < np.uint64(1 << 56):
-        return b"\7" + step.view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-    return b"\10" + step.tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    wide = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(-1, data[0])
-    full = np.zeros((len(wide), 8), dtype=np.uint8)
-    full[:, :data[0]] = wide
-    return np.cumsum(full.view(np.uint64).ravel(), dtype=np.uint64)
+        found = np.zeros(len(keys), dtype=np.uint8)
+        rank, context = self.contexts.successor(keys >> np.uint64(32))
+        known = np.flatnonzero((rank < self.contexts.n) & (context == keys >> np.uint64(32)))
+        # Relative to the context: its first successor that is not less, before the next context's begin.
+        wanted = (rank[known].astype(np.uint64) << np.uint64(32)) | (keys[known] & _LOW)
+        at, value = self.successors.successor(wanted)
+        inside = (at < self.pointers.at(rank[known] + 1).astype(np.int64)) & (value == wanted)
+        found[known[inside]] = self.codes[at[inside]]
+        return found
 
 
 class _Chunk:
@@ -184,52 +197,46 @@ class _Chunk:
         seen_pairs = np.bincount(self.pair[self.train], minlength=len(keys))
         self.parts = []
         for kind, values, counts in ((0, words, seen), (1, keys, seen_pairs)):
-            shard = (mix(values + np.uint64(kind + 1)) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-            self.parts.append((kind, values[order], counts[order], bounds, order))
+            order, owners, bounds = dealt((mix(values + np.uint64(kind + 1)) % np.uint64(shards)).astype(np.int64))
+            self.parts.append((kind, values[order], counts[order], owners.tolist(), bounds, order))
 
 
-def _answers(texts: DataFrame, shards: int) -> DataFrame:
-    """(chunk, shard, kind, data): the shards' answers to the chunks' requests, and their totals."""
+def _narrow(counts: np.ndarray) -> bytes:
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int64).tobytes()
+
+
+def _answers(texts: DataFrame, chunks: int, shards: int) -> DataFrame:
+    """(node, data): the shards' answers to the chunks' requests; totals of a shard go to one of the chunks."""
+    routes = Routes(max(chunks, shards))
+
     def ask(table: pa.Table) -> pa.Table:
-        chunk, rows = table["chunk"][0].as_py(), []
-        for kind, values, counts, bounds, _ in _Chunk(table, shards).parts:
-            for s in range(shards):
-                i, j = bounds[s], bounds[s + 1]
-                if i < j:
-                    n = counts[i:j]
-                    width = np.uint8 if n.max() < 256 else np.int64
-                    rows.append((s, chunk, kind, _pack(values[i:j]), n.astype(width).tobytes()))
-        cols = list(zip(*rows))
-        return pa.table({"shard": pa.array(cols[0], pa.int64()), "chunk": pa.array(cols[1], pa.int64()), "kind": pa.array(cols[2], pa.int32()),
-                         "keys": pa.array(cols[3], pa.binary()), "counts": pa.array(cols[4], pa.binary())})
+        chunk = table["chunk"][0].as_py()
+        return routes.sent(((s, chunk, kind, (pack(values[i:j]), _narrow(counts[i:j])))
+                            for kind, values, counts, owners, bounds, _ in _Chunk(table, shards).parts
+                            for s, i, j in zip(owners, bounds[:-1], bounds[1:])), chunk)
 
     def answer(table: pa.Table) -> pa.Table:
-        shard, out = table["shard"][0].as_py(), []
-        for kind in (0, 1):
-            part = table.filter(pa.compute.equal(table["kind"], kind))
-            if not len(part):
+        shard, asked, out = table["node"][0].as_py(), ([], []), []
+        for _, chunk, kind, parts in received(table):
+            asked[kind].append((chunk, unpack(parts[0]), parts[1]))
+        for kind, requests in enumerate(asked):
+            if not requests:
                 continue
-            keys = [_unpack(x.as_py()) for x in part["keys"]]
-            counts = [np.frombuffer(x.as_py(), dtype=np.uint8 if len(x.as_py()) == len(k) else np.int64).astype(np.int64)
-                      for x, k in zip(part["counts"], keys)]
+            keys = [k for _, k, _ in requests]
+            counts = [np.frombuffer(c, dtype=np.uint8 if len(c) == len(k) else np.int64).astype(np.int64) for _, k, c in requests]
             known, at = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
             if kind == 0:
-                bounds = np.cumsum([0, *map(len, keys)])
-                data = [total[at[i:j]].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
-                word = known != BEGIN
-                out.append((-1 - shard, shard, 2, np.array([total[word].sum(), (total[word] > 0).sum()], dtype=np.int64).tobytes()))
+                word, codes = known != BEGIN, total
+                out.append((shard % chunks, shard, 2, (np.array([total[word].sum(), (total[word] > 0).sum()], dtype=np.int64).tobytes(),)))
             else:
-                data = [x.tobytes() for x in Trie(known[total > 0], total[total > 0]).search(keys)]
-            out += [(c.as_py(), shard, kind, d) for c, d in zip(part["chunk"], data)]
-        cols = list(zip(*out))
-        return pa.table({"chunk": pa.array(cols[0], pa.int64()), "shard": pa.array(cols[1], pa.int64()), "kind": pa.array(cols[2], pa.int32()),
-                         "data": pa.array(cols[3], pa.binary())})
+                codes = Trie(known[total > 0], total[total > 0]).search(known)
+            cut = np.cumsum([0, *map(len, keys)])
+            out += [(chunk, shard, kind, (codes[at[i:j]].tobytes(),)) for (chunk, _, _), i, j in zip(requests, cut[:-1], cut[1:])]
+        return routes.sent(out, shard)
 
-    asked = texts.groupBy("chunk").applyInArrow(ask, "shard long, chunk long, kind int, keys binary, counts binary")
-    return asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, kind int, data binary")
+    asked = routes.delivered(texts.groupBy("chunk").applyInArrow(ask, SCHEMA))
+    return routes.delivered(asked.groupBy("node").applyInArrow(answer, SCHEMA))
 
 
 def _cell(pairs: np.ndarray, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -241,7 +248,7 @@ def _cell(pairs: np.ndarray, contexts: np.ndarray, words: np.ndarray) -> np.ndar
     return (group * CELLS + cell).astype(np.int64)
 
 
-def _tallied(texts: DataFrame, shards: int, kind: str) -> DataFrame:
+def _tallied(texts: DataFrame, chunks: int, shards: int, kind: str) -> DataFrame:
     """Rows of texts (what = 0), of left-out cells of training texts (1) and of totals (2)."""
     schema = (f"what int, doc_id {kind}, train boolean, n_tokens long, n_known long, log_counts double, "
               "cells array<int>, counts array<long>")
@@ -249,17 +256,17 @@ def _tallied(texts: DataFrame, shards: int, kind: str) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         id_type = left.schema.field("doc_id").type
         rows = []
-        if not len(left):
-            for x in right["data"]:
-                tokens, distinct = np.frombuffer(x.as_py(), dtype=np.int64)
+        answers = {(what, s): parts[0] for _, s, what, parts in received(right)}
+        for (what, _), data in answers.items():
+            if what == 2:
+                tokens, distinct = np.frombuffer(data, dtype=np.int64)
                 rows.append((2, None, None, int(tokens), int(distinct), None, None, None))
-        else:
+        if len(left):
             chunk = _Chunk(left, shards)
-            answers = {(k, s): d for k, s, d in zip(right["kind"].to_pylist(), right["shard"].to_pylist(), right["data"].to_pylist())}
             found = []
-            for at, values, _, bounds, order in chunk.parts:
+            for at, values, _, owners, _, order in chunk.parts:
                 width = np.int64 if at == 0 else np.uint8
-                got = np.concatenate([np.frombuffer(answers[at, s], dtype=width) for s in range(shards) if bounds[s] < bounds[s + 1]])
+                got = np.concatenate([np.frombuffer(answers[at, s], dtype=width) for s in owners])
                 back = np.empty(len(values), dtype=width)
                 back[order] = got
                 found.append(back)
@@ -286,7 +293,7 @@ def _tallied(texts: DataFrame, shards: int, kind: str) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(cols, types)],
                         names=["what", "doc_id", "train", "n_tokens", "n_known", "log_counts", "cells", "counts"])
 
-    return texts.groupBy("chunk").cogroup(_answers(texts, shards).groupBy("chunk")).applyInArrow(run, schema)
+    return texts.groupBy("chunk").cogroup(_answers(texts, chunks, shards).groupBy("node")).applyInArrow(run, schema)
 
 
 def _ratios(norm: float) -> np.ndarray:
@@ -324,7 +331,7 @@ def scores(docs: DataFrame, train: Column) -> DataFrame:
     shards = max(chunks, spread(docs.sparkSession))
     texts = plain.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id",
                          F.coalesce("text", F.lit("")).alias("text"), F.coalesce(train, F.lit(True)).alias("train"))
-    table = written(_tallied(texts, shards, kind))
+    table = written(_tallied(texts, chunks, shards, kind))
     total = table.where("what = 2").agg(F.sum("n_tokens"), F.sum("n_known")).first()
     tokens, distinct = total[0] or 0, total[1] or 0
     norm = float(tokens + distinct + 1)

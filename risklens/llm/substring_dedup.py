@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from risklens.llm.language_model import _pack as pack, _unpack as unpack
+from risklens.llm.exchange import SCHEMA, Routes, dealt, pack, received, unpack
 from risklens.llm.quality import in_blocks
 from risklens.llm.shared import pick, spread, written
 from risklens.llm.words import Words, mix, ngrams
@@ -92,30 +92,26 @@ class _Chunk:
         hashes = ngrams(w.hash, ANCHOR)
         self.anchors, self.which, count = np.unique(hashes[self.at], return_inverse=True, return_counts=True)
         self.several = count > 1
-        self.order, self.bounds = self.dealt(self.anchors)
-        self.answers = {(k, s): d for k, s, d in zip(*(right[c].to_pylist() for c in ("kind", "shard", "data")))}
+        self.by_shard = self.dealt(self.anchors)
+        self.answers = {(kind, s): parts[0] for _, s, kind, parts in received(right)}
 
-    def dealt(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order of sorted keys by shard, and where each shard begins."""
-        shard = (mix(keys) % np.uint64(self.shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        return order, np.searchsorted(shard[order], np.arange(self.shards + 1))
+    def dealt(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of sorted keys by shard, the shards that have any, and where each begins."""
+        return dealt((mix(keys) % np.uint64(self.shards)).astype(np.int64))
 
-    def answered(self, kind: int, order: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def answered(self, kind: int, order: np.ndarray, owners: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The shards' bits in the order of the keys."""
         out = np.zeros(len(order), dtype=bool)
-        for s in range(self.shards):
-            i, j = bounds[s], bounds[s + 1]
-            if i < j:
-                bits = np.frombuffer(self.answers[kind, s], dtype=np.uint8)
-                out[order[i:j]] = np.unpackbits(bits, count=j - i).astype(bool)
+        for s, i, j in zip(owners.tolist(), bounds[:-1], bounds[1:]):
+            bits = np.frombuffer(self.answers[kind, s], dtype=np.uint8)
+            out[order[i:j]] = np.unpackbits(bits, count=j - i).astype(bool)
         return out
 
     def windows(self) -> None:
         """Windows that hold a repeated anchor, grouped; the first of a group is the earliest here."""
         w = self.words
         hit = np.zeros(len(w.hash) + PERIOD, dtype=bool)
-        hit[self.at[self.answered(ANCHORS, self.order, self.bounds)[self.which]]] = True
+        hit[self.at[self.answered(ANCHORS, *self.by_shard)[self.which]]] = True
         near = hit[:len(w.hash)].copy()
         for k in range(1, PERIOD):
             near |= hit[k:k + len(w.hash)]
@@ -130,12 +126,12 @@ class _Chunk:
         self.leader = np.flatnonzero(fresh)
         self.group = np.cumsum(fresh) - 1
         self.w1, self.w2 = w1[self.leader], w2[self.leader]
-        self.w_order, self.w_bounds = self.dealt(self.w1)
+        self.w_by_shard = self.dealt(self.w1)
 
     def repeated(self) -> dict[int, np.ndarray]:
         """Starts of repeated windows of each document, by its number."""
         self.windows()
-        gone = self.answered(WINDOWS, self.w_order, self.w_bounds)[self.group]
+        gone = self.answered(WINDOWS, *self.w_by_shard)[self.group]
         later = np.ones(len(self.start), dtype=bool)
         later[self.leader] = False
         at = np.sort(self.start[gone | later])
@@ -143,61 +139,52 @@ class _Chunk:
         return {n: self.place[at[cut[i]:cut[i + 1]]] for n, i in self.row_of.items()}
 
 
-_ASKED = "shard long, chunk long, a binary, b binary, c binary, d binary"
-_STATUS = "chunk long, g long, h long, no long, state int, kind int, shard long, data binary"
-
-
-def _rows(schema: str, rows: list[tuple]) -> pa.Table:
-    """An Arrow table of rows; ``schema`` uses long, int and binary."""
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    fields = [f.split() for f in schema.split(", ")]
-    columns = list(zip(*rows)) or [[] for _ in fields]
-    return pa.table([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
-
-
-def _exchanged(texts: DataFrame, known: DataFrame, shards: int, kind: int) -> DataFrame:
+def _exchanged(texts: DataFrame, known: DataFrame, chunks: int, shards: int, kind: int) -> DataFrame:
     """``known`` and the shards' answers about anchors or windows of the chunks."""
+    routes = Routes(max(chunks, shards))
+
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk, rows = _Chunk(left, right, shards), []
+        chunk = _Chunk(left, right, shards)
         number = left["chunk"][0].as_py()
         if kind == WINDOWS:
             chunk.windows()
-        order, bounds = (chunk.order, chunk.bounds) if kind == ANCHORS else (chunk.w_order, chunk.w_bounds)
-        for s in range(shards):
-            at = order[bounds[s]:bounds[s + 1]]
-            if not len(at):
-                continue
-            if kind == ANCHORS:
-                rows.append((s, number, pack(chunk.anchors[at]), np.packbits(chunk.several[at]).tobytes(), b"", b""))
-            else:
-                docs, index = np.unique(chunk.doc[chunk.start[chunk.leader[at]]], return_inverse=True)
-                narrow = np.uint16 if len(docs) <= 1 << 16 else np.uint32
-                rows.append((s, number, pack(chunk.w1[at]), chunk.w2[at].tobytes(), index.astype(narrow).tobytes(), chunk.no[docs].tobytes()))
-        return _rows(_ASKED, rows)
+
+        def requests():
+            order, owners, bounds = chunk.by_shard if kind == ANCHORS else chunk.w_by_shard
+            for s, i, j in zip(owners.tolist(), bounds[:-1], bounds[1:]):
+                at = order[i:j]
+                if kind == ANCHORS:
+                    parts = pack(chunk.anchors[at]), np.packbits(chunk.several[at]).tobytes(), b"", b""
+                else:
+                    docs, index = np.unique(chunk.doc[chunk.start[chunk.leader[at]]], return_inverse=True)
+                    narrow = np.uint16 if len(docs) <= 1 << 16 else np.uint32
+                    parts = pack(chunk.w1[at]), chunk.w2[at].tobytes(), index.astype(narrow).tobytes(), chunk.no[docs].tobytes()
+                yield s, number, kind, parts
+        return routes.sent(requests(), number)
 
     def answer(table: pa.Table) -> pa.Table:
-        shard, requests = table["shard"][0].as_py(), table.to_pylist()
-        keys = [unpack(r["a"]) for r in requests]
+        shard, requests = table["node"][0].as_py(), list(received(table))
+        keys = [unpack(p[0]) for *_, p in requests]
         bounds = np.cumsum([0, *map(len, keys)])
         if kind == ANCHORS:
-            several = np.concatenate([np.unpackbits(np.frombuffer(r["b"], dtype=np.uint8), count=len(k)) for r, k in zip(requests, keys)])
+            several = np.concatenate([np.unpackbits(np.frombuffer(p[1], dtype=np.uint8), count=len(k)) for (*_, p), k in zip(requests, keys)])
             _, at = np.unique(np.concatenate(keys), return_inverse=True)
             bits = (np.bincount(at, weights=several + 1) > 1)[at]
         else:
-            w1, w2 = np.concatenate(keys), np.concatenate([np.frombuffer(r["b"], dtype=np.uint32) for r in requests])
-            no = np.concatenate([np.frombuffer(r["d"], dtype=np.int64)[np.frombuffer(r["c"], dtype=np.uint16 if len(r["c"]) == 2 * len(k) else np.uint32)]
-                                 for r, k in zip(requests, keys)])
+            w1, w2 = np.concatenate(keys), np.concatenate([np.frombuffer(p[1], dtype=np.uint32) for *_, p in requests])
+            no = np.concatenate([np.frombuffer(p[3], dtype=np.int64)[np.frombuffer(p[2], dtype=np.uint16 if len(p[2]) == 2 * len(k) else np.uint32)]
+                                 for (*_, p), k in zip(requests, keys)])
             order = np.lexsort((no, w2, w1))
             fresh = np.ones(len(order), dtype=bool)
             fresh[1:] = (w1[order[1:]] != w1[order[:-1]]) | (w2[order[1:]] != w2[order[:-1]])
             bits = np.zeros(len(order), dtype=bool)
             bits[order] = ~fresh
-        rows = [(r["chunk"], None, None, None, None, kind, shard, np.packbits(bits[i:j]).tobytes())
-                for r, i, j in zip(requests, bounds[:-1], bounds[1:])]
-        return _rows(_STATUS, rows)
+        return routes.sent(((chunk, shard, kind, (np.packbits(bits[i:j]).tobytes(),))
+                            for (_, chunk, _, _), i, j in zip(requests, bounds[:-1], bounds[1:])), shard)
 
-    asked = texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(ask, _ASKED)
-    return known.unionByName(asked.groupBy("shard").applyInArrow(answer, _STATUS))
+    asked = routes.delivered(texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(ask, SCHEMA))
+    answers = routes.delivered(asked.groupBy("node").applyInArrow(answer, SCHEMA))
+    return known.unionByName(answers.withColumnRenamed("node", "chunk"), allowMissingColumns=True)
 
 
 def _kept(text: bytes, starts: np.ndarray | None) -> tuple[int, int, str]:
@@ -230,7 +217,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                      .join(first, ["g", "h"], "left")
                      .orderBy(F.col("doc_id").asc_nulls_last(), "h", "g")
                      .select(chunk, "g", "h", F.monotonically_increasing_id().alias("no"), state.alias("state"),
-                             F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("shard"),
                              F.lit(None).cast("binary").alias("data")))
     texts = texts.select(chunk, "doc_id", "g", "h", "text")
 
@@ -244,6 +230,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return pa.table({"doc_id": left["doc_id"], "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
                          "kept_sha256": pa.array(digest, pa.string())})
 
-    known = _exchanged(texts, _exchanged(texts, status, shards, ANCHORS), shards, WINDOWS)
+    known = _exchanged(texts, _exchanged(texts, status, chunks, shards, ANCHORS), chunks, shards, WINDOWS)
     return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         finish, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")

@@ -4,7 +4,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from risklens.llm import exact_dedup, near_dedup, substring_dedup
+import pytest
+
+from risklens.llm import exact_dedup, exchange, near_dedup, substring_dedup
 from risklens.llm.components import components
 from tests.llm.conftest import ROWS, SCHEMA, extend, words
 
@@ -116,7 +118,11 @@ def test_cover_is_a_difference_cover():
     assert all(any((i + k) % p in d and (j + k) % p in d for k in range(p)) for i in range(p) for j in range(p))
 
 
-def test_repeated_passages_match_brute_force(spark, docs, empty):
+@pytest.mark.parametrize("fan,chunk", [(128, 12 << 20), (2, 3000)])
+def test_repeated_passages_match_brute_force(spark, docs, empty, monkeypatch, fan, chunk):
+    """Also with many chunks, whose messages go over several relays."""
+    monkeypatch.setattr(exchange, "FAN", fan)
+    monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
     assert substring_dedup.remove_repeats(empty).count() == 0
     r = random.Random(2)
     passage = [words(s, n) for s, n in ((70, 20), (71, 21), (72, 33), (73, 19))]

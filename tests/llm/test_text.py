@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from risklens.llm import fingerprints, language_model, pieces, private_data, token_count
+from risklens.llm import exchange, fingerprints, language_model, pieces, private_data, token_count
 from risklens.llm.words import Words, ngrams
 from tests.llm.conftest import ROWS
 
@@ -102,7 +102,9 @@ def brute_model(rows):
     return toks, train
 
 
-def test_language_model_base_and_pairs(docs, empty, monkeypatch):
+@pytest.mark.parametrize("fan", [128, 2])
+def test_language_model_base_and_pairs(docs, empty, monkeypatch, fan):
+    monkeypatch.setattr(exchange, "FAN", fan)
     monkeypatch.setattr(language_model, "CHUNK", 20000)
     got = language_model.scores(docs, F.crc32(F.col("doc_id").cast("string")) % 7 != 2).collect()
     toks, train = brute_model(ROWS)
@@ -152,7 +154,9 @@ def test_language_model_scores_match_brute_force(spark):
 @pytest.mark.parametrize("n,universe", [(0, 10), (1, 1), (1, 1 << 40), (5000, 1 << 32), (70000, 70001), (9, 1 << 62)])
 def test_elias_fano_gives_values_back(n, universe):
     values = np.sort(np.random.default_rng(n).integers(0, universe, n, dtype=np.uint64))
-    assert (language_model.EliasFano(values, universe).decode() == values).all()
+    coded = language_model.EliasFano(values, universe)
+    read = [coded.block(k) for k in range(len(coded.begins) - 1)]
+    assert (np.concatenate([values[:0], *read]) == values).all()
 
 
 def test_trie_answers_every_key():
@@ -162,10 +166,10 @@ def test_trie_answers_every_key():
     trie = language_model.Trie(keys, counts)
     ask = np.unique(np.concatenate([keys[::3], keys[::5] + np.uint64(1), draw.integers(0, 1 << 45, 500, dtype=np.uint64)]))
     known = dict(zip(keys.tolist(), language_model.encode_count(counts).tolist()))
-    assert trie.search([ask])[0].tolist() == [known.get(k, 0) for k in ask.tolist()]
-    assert language_model.Trie(keys[:0], counts[:0]).search([ask])[0].sum() == 0
+    assert trie.search(ask).tolist() == [known.get(k, 0) for k in ask.tolist()]
+    assert language_model.Trie(keys[:0], counts[:0]).search(ask).sum() == 0
     for a in (ask, ask[:1], ask[:0]):
-        assert (language_model._unpack(language_model._pack(a)) == a).all()
+        assert (exchange.unpack(exchange.pack(a)) == a).all()
     exact = np.arange(65)
     assert (language_model.decode_count(language_model.encode_count(exact)) == exact).all()
     big = np.array([100, 10 ** 4, 10 ** 9])
@@ -287,3 +291,46 @@ def test_runs_past_the_first_look_are_optimal():
         ids = v.viterbi(text)
         assert v.decode([v.ids[" "], *ids]) == text
         assert sum(score[i] for i in ids) == pytest.approx(plain_viterbi(v, text))
+
+
+@pytest.mark.parametrize("block", [8, 64, 1 << 16])
+def test_coded_levels_are_searched_by_blocks(monkeypatch, block):
+    monkeypatch.setattr(language_model, "BLOCK", block)
+    draw = np.random.default_rng(block)
+    values = np.sort(draw.integers(0, 9000, 3000, dtype=np.uint64))
+    coded = language_model.EliasFano(values, 9000)
+    wanted = np.sort(draw.integers(0, 9500, 700, dtype=np.uint64))
+    place, value = coded.successor(wanted)
+    assert (place == np.searchsorted(values, wanted)).all()
+    inside = place < len(values)
+    assert (value[inside] == values[place[inside]]).all()
+    index = np.sort(draw.integers(0, 3000, 500))
+    assert (coded.at(index) == values[index]).all()
+
+
+def routed(spark, nodes):
+    """Rows of a full exchange, in which each node sends one message to every node."""
+    routes = exchange.Routes(nodes)
+
+    def ask(table):
+        node = table["id"][0].as_py()
+        return routes.sent(((t, node, 0, (b"x" * (t % 3), b"")) for t in range(nodes)), node)
+
+    def take(table):
+        node = table["node"][0].as_py()
+        got = list(exchange.received(table))
+        good = sorted(f for _, f, _, _ in got) == list(range(nodes)) and all(t == node and len(p[0]) == t % 3 for t, _, _, p in got)
+        return pa.table({"node": pa.array([node]), "good": pa.array([good]), "rows": pa.array([len(table)])})
+
+    rows = spark.range(nodes).groupBy("id").applyInArrow(ask, exchange.SCHEMA)
+    first = rows.count()
+    last = routes.delivered(rows).groupBy("node").applyInArrow(take, "node long, good boolean, rows long").collect()
+    assert len(last) == nodes and all(r.good for r in last)
+    return first, sum(r.rows for r in last)
+
+
+def test_bundles_grow_with_the_nodes_not_with_their_square(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "FAN", 5)
+    assert [exchange.Routes(n).hops for n in (1, 5, 6, 25, 26, 125)] == [1, 1, 2, 2, 3, 3]
+    for a, b in zip(routed(spark, 30), routed(spark, 120)):
+        assert 0 < a <= 30 * 5 and 0 < b <= 120 * 5
