@@ -6,6 +6,7 @@ and kept (memory, then disk); a lost executor recomputes its part from the base
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cached_property
@@ -98,6 +99,8 @@ class Workspace:
     def path(self, name: str) -> str:
         """A new place for a file, in the folder that the session names for files or checkpoints."""
         known = self.spark.conf.get("spark.risklens.dir", None) or self.spark.conf.get("spark.checkpoint.dir", None)
+        if not known and not re.fullmatch(r"local(\[.*\])?", self.spark.sparkContext.master):
+            raise ValueError("set spark.risklens.dir or spark.checkpoint.dir to a folder that the driver and all executors share")
         return f"{known or tempfile.mkdtemp(prefix='risklens-')}/{uuid.uuid4().hex}/{name}"
 
     def _keep(self, df: DataFrame) -> DataFrame:
