@@ -11,13 +11,17 @@ gives at least ``ACCEPT``, and for which the gazetteer or the context speaks, ar
 overlap a base span or a more probable candidate.
 
 Null text counts as empty and has no spans. Offsets are code points, ends exclusive. Rows that repeat
-a doc_id are searched one by one.
+a doc_id are searched one by one. Of equally probable candidates the first by kind,
+then in the text, stays. Very long texts are
+searched whole; an empty table gives no rows. Columns other than doc_id and text, also ones with clashing
+names, are left out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import product
 
@@ -264,6 +268,28 @@ def _train(found: DataFrame, truth: dict[tuple[int, ...], float]) -> np.ndarray:
     return weights
 
 
+class _Taken:
+    """Places of a text that spans hold, as sorted intervals without overlap."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for x, y in sorted(spans):
+            if self.ends and x < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], y)
+            else:
+                self.starts.append(x)
+                self.ends.append(y)
+
+    def add(self, x: int, y: int) -> bool:
+        """Take a span, unless it overlaps one."""
+        at = bisect_left(self.starts, y)
+        if at and self.ends[at - 1] > x:
+            return False
+        self.starts.insert(at, x)
+        self.ends.insert(at, y)
+        return True
+
+
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, n_added and spans of every document."""
     table = written(_searched(docs))
@@ -282,13 +308,13 @@ def find(docs: DataFrame) -> DataFrame:
                 base = np.array(base.values.to_numpy()).reshape(-1, 3)
                 spans = np.array(spans.values.to_numpy()).reshape(-1, 3)
                 held = [tuple(map(int, s)) for s in base]
-                n = len(held)
+                n, taken = len(held), _Taken((x, y) for _, x, y in held)
                 if len(spans):
                     cast = np.array(cast.values.to_numpy()).reshape(-1, 4)
                     p = 1 / (1 + np.exp(-np.clip(np.array(inputs.values.to_numpy()).reshape(-1, N_FEATURES) @ weights, -30, 30)))
                     for i in np.lexsort((spans[:, 1], spans[:, 0], -np.round(p, 9))):
                         k, s, e = map(int, spans[i])
-                        if p[i] >= ACCEPT and (cast[i, 1:3] > 0).any() and not any(s < y and x < e for _, x, y in held):
+                        if p[i] >= ACCEPT and (cast[i, 1:3] > 0).any() and taken.add(s, e):
                             held.append((k, s, e))
                 added.append(len(held) - n)
                 text.append(_spans_text(held))

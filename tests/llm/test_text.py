@@ -334,3 +334,21 @@ def test_bundles_grow_with_the_nodes_not_with_their_square(spark, monkeypatch):
     assert [exchange.Routes(n).hops for n in (1, 5, 6, 25, 26, 125)] == [1, 1, 2, 2, 3, 3]
     for a, b in zip(routed(spark, 30), routed(spark, 120)):
         assert 0 < a <= 30 * 5 and 0 < b <= 120 * 5
+
+
+def test_taken_places_equal_a_look_at_all_spans():
+    r = random.Random(6)
+    for _ in range(300):
+        spans = [(a, a + r.randint(1, 6)) for a in (r.randint(0, 60) for _ in range(r.randint(0, 6)))]
+        taken, held = private_data._Taken(spans), list(spans)
+        for _ in range(12):
+            s = r.randint(0, 60)
+            e = s + r.randint(1, 6)
+            free = not any(s < y and x < e for x, y in held)
+            assert taken.add(s, e) == free
+            if free:
+                held.append((s, e))
+    many = private_data._Taken((10 * i, 10 * i + 4) for i in range(200_000))
+    start = time.process_time()
+    assert all(many.add(10 * i + 5, 10 * i + 8) for i in range(0, 200_000, 2))
+    assert time.process_time() - start < 10
