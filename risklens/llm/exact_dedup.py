@@ -8,7 +8,9 @@ frequent digests are settled where they lie. Only the remaining digests are shuf
 their groups exceeds that share.
 
 Null text counts as empty. A null doc_id is smaller than any other. Of rows that also share the
-doc_id, one stays, whichever: they are equal in both. An empty table gives an empty result.
+doc_id, one stays, whichever: they are equal in both. Very long texts count by their digest like any other.
+An empty table gives an empty result. ``keep`` returns all columns, whatever their names; ``groups`` reads doc_id and
+text only.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ through each range in order; only the first and last text of each range are join
 
 Null text counts as empty; two empty texts have likeness 1, an empty and another one 0. Documents are
 ordered by doc_id, null last, then by a hash of the text, so rows that repeat a doc_id follow each other;
-a table of one row is followed by that row.
+a table of one row is followed by that row. A very long text has the same number of cells as any other. An empty
+table gives no rows; columns other than doc_id and text, also ones with clashing names, are left out.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ and small-star, after the hubs and at the end.
 
 Null text counts as empty; documents without words are linked with nothing. component_id is the
 smallest doc_id of the component, null only if all its doc_ids are null. Rows that repeat a doc_id
-are documents of their own.
+are documents of their own; of equal best ones the first row counts. A very long text is one set like any other. An
+empty table gives no rows. ``keep`` returns all columns, whatever their names; ``groups`` reads doc_id and text only.
 """
 
 from __future__ import annotations

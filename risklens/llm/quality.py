@@ -8,7 +8,9 @@ isotonic calibration. Nothing but the text enters a score.
 
 Null text counts as empty and is scored like any text. Labels that are null are left out; labels that
 repeat a doc_id count by their mean. Without any label, or with one class only, every score is the
-mean label (0.5 without labels). Rows that repeat a doc_id are scored one by one.
+mean label (0.5 without labels). Rows that repeat a doc_id are scored one by one, so ties don't matter. Statistics are
+those of whole texts, however long. An empty table gives no rows. ``keep`` returns all columns, whatever their
+names; the others read doc_id and text only.
 """
 
 from __future__ import annotations

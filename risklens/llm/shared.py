@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import wraps
@@ -16,12 +17,17 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+_TEMPORARY: dict[str, str] = {}
+
+
 def folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; a temporary one only where none is configured."""
+    """The shared folder for intermediate tables. Only a local session without one gets a temporary folder."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
-        known = tempfile.mkdtemp(prefix="risklens-")
-        spark.conf.set("spark.checkpoint.dir", known)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        known = _TEMPORARY.get(app) or _TEMPORARY.setdefault(app, tempfile.mkdtemp(prefix="risklens-"))
     return known.rstrip("/")
 
 

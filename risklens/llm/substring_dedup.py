@@ -2,8 +2,8 @@
 
 Two equal runs of ``WINDOW`` words can lie at any two offsets. ``COVER`` is a difference cover modulo
 ``PERIOD``: whatever the offsets, some k < PERIOD puts both i + k and j + k on cover positions. So both
-runs hold an equal anchor of WINDOW - PERIOD + 1 words at cover positions, and only these positions,
-4 of 13, are hashed and exchanged. Windows around anchors that occur more than once are then extended to
+runs hold an equal anchor of WINDOW - PERIOD + 1 words at cover positions, and only the anchors there,
+4 of 13, are exchanged (hashes of all positions come from one pass over arrays). Windows around anchors that occur more than once are then extended to
 their full length and compared by 96 bits; every one but the earliest marks its words.
 
 Texts are dealt once into chunks of about ``CHUNK`` bytes. A chunk sends its distinct anchors to shards
@@ -14,7 +14,9 @@ order of the requests. Documents of the same words as an earlier one are settled
 sequence: all their windows start earlier.
 
 Documents are ordered by doc_id, null last, then by a hash of the text; rows equal in both count as one
-document and get equal results. Null text has no words; what has fewer than WINDOW words stays whole.
+document and get equal results. Null text has no words; what has fewer than WINDOW words stays whole. A very long
+text is in one chunk, as all rows equal in doc_id and text are. An empty table gives no rows; columns other than
+doc_id and text, also ones with clashing names, are left out.
 """
 
 from __future__ import annotations

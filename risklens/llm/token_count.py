@@ -6,7 +6,9 @@ and leftmost first among equals. The lowest-rank pair is merged until none is le
 initial number of symbols less the number of merges. Merges stay within the vocabulary's units, over
 whose ends no piece goes; the counts of frequent short units are kept.
 
-Null text counts as empty and has no tokens. Rows are counted one by one.
+Null text counts as empty and has no tokens; very long texts are counted whole. Rows are counted one by one, so repeated
+rows and ties of doc_id give repeated results; an empty table gives none, and all columns but doc_id and text, also
+those with clashing names, are left out.
 """
 
 from __future__ import annotations
