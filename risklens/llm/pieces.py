@@ -34,7 +34,7 @@ from risklens.llm.words import text_column
 
 SPACE = "▁"
 #: Units in each of two generations that are looked up.
-CACHE = 300_000
+CACHE = 200_000
 CACHED_LENGTH = 48
 #: Characters after which the paths are first searched for a common boundary.
 CHECK = 256
@@ -224,7 +224,7 @@ def encode_text(text: str, path: str) -> np.ndarray:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, exact): ids of every whole text; ``exact`` if they decode to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, _ = _loaded(path)
+        vocabulary, units = _loaded(path)
         for b in batches:
             texts = text_column(b.column(1))
             for at in range(0, len(texts), 256):
@@ -242,6 +242,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     [b.column(0).slice(at, 256), pa.array(sizes.astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(exact, pa.bool_())],
                     ["doc_id", "n_tokens", "ids", "exact"])
+        units.older = {}  # the worker outlives its task
     plain = pick(docs, "doc_id", "text")
     kind = plain.schema["doc_id"].dataType.simpleString()
     return plain.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, exact boolean")
