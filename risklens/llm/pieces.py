@@ -34,7 +34,7 @@ from risklens.llm.words import text_column
 
 SPACE = "▁"
 #: Units in each of two generations that are looked up.
-CACHE = 200_000
+CACHE, LEAN = 300_000, 200_000
 CACHED_LENGTH = 48
 #: Characters after which the paths are first searched for a common boundary.
 CHECK = 256
@@ -198,12 +198,12 @@ class _Units(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary, self.older = vocabulary, {}
+        self.vocabulary, self.older, self.limit = vocabulary, {}, CACHE
 
     def __missing__(self, unit: str) -> bytes:
         found = self.older.get(unit) or array("i", self.vocabulary.viterbi(unit)).tobytes()
         if len(unit) <= CACHED_LENGTH:
-            if len(self) >= CACHE:
+            if len(self) >= self.limit:
                 self.older = dict(self)
                 self.clear()
             self[unit] = found
@@ -221,10 +221,14 @@ def encode_text(text: str, path: str) -> np.ndarray:
     return np.frombuffer(b"".join(map(units.__getitem__, vocabulary.unit.findall(" " + text if text else ""))), dtype=np.int32)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, exact): ids of every whole text; ``exact`` if they decode to it."""
+def encode(docs: DataFrame, path: str, lean: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids, exact): ids of every whole text; ``exact`` if they decode to it.
+
+    ``lean`` keeps ``LEAN`` units in a generation, and one generation between tasks: for workers that other work shares.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, units = _loaded(path)
+        units.limit = LEAN if lean else CACHE
         for b in batches:
             texts = text_column(b.column(1))
             for at in range(0, len(texts), 256):
@@ -242,7 +246,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     [b.column(0).slice(at, 256), pa.array(sizes.astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(exact, pa.bool_())],
                     ["doc_id", "n_tokens", "ids", "exact"])
-        units.older = {}  # the worker outlives its task
+        if lean:
+            units.older = {}  # the worker outlives its task
     plain = pick(docs, "doc_id", "text")
     kind = plain.schema["doc_id"].dataType.simpleString()
     return plain.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, exact boolean")
