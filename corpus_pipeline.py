@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     from risklens.llm import pieces
-    return pieces.encode(docs, pieces.default_model())
+    return pieces.encode(docs, pieces.default_model(), lean=True)
 
 
 STAGES = [("quality", quality_filter), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
