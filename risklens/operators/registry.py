@@ -271,6 +271,13 @@ def similar_names(candidates: DataFrame, existing: DataFrame, key: str = "ind_co
     words are joined on; frequent words never form a join key unless a name has no other. Names of
     fewer than ``min_words`` words are left out of the pairs.
     """
+    left, scored, right = _similar_sets(candidates, existing, key, name, min_score, min_words)
+    return left.join(scored, "a"), right
+
+
+def _similar_sets(candidates: DataFrame, existing: DataFrame, key: str = "ind_code", name: str = "ind_name",
+                  min_score: float = 72.25, min_words: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidate codes and sets, pairs of different sets with scores, existing codes and sets)."""
     sides = []
     for df, k in ((candidates, "a"), (existing, "b")):
         sides.append(df.select(F.col(key).alias(f"{k}_code"), tokens(F.col(name)).alias(k))
@@ -294,8 +301,7 @@ def similar_names(candidates: DataFrame, existing: DataFrame, key: str = "ind_co
              .unionByName(pb.join(ea, "t").where(F.size("b") < F.size("a")).select("a", "b")).distinct())
     both = F.size(F.array_intersect("a", "b"))
     scored = pairs.select("a", "b", (both / F.least(F.size("a"), F.size("b")) * 100).alias("score"))
-    scored = scored.where(F.col("score") >= min_score)
-    return left.join(scored, "a"), right
+    return left, scored.where(F.col("score") >= min_score), right
 
 
 def check_duplicates(candidates: DataFrame, existing: DataFrame, threshold: float = 85.0,
@@ -323,12 +329,17 @@ def check_duplicates(candidates: DataFrame, existing: DataFrame, threshold: floa
 
 def top_similar(candidates: DataFrame, existing: DataFrame, k: int = 5, **kw) -> DataFrame:
     """The ``k`` closest existing names per candidate; equal word sets are ranked by code."""
-    left, right = similar_names(candidates, existing, **kw)
-    # Only the k smallest codes of a word set can be among the k best of any candidate.
+    left, scored, right = _similar_sets(candidates, existing, **kw)
+    # Only the k smallest codes of a word set can be among the k best of any candidate, and candidates with
+    # equal word sets have the same best: they are picked once per set, so a candidate meets k rows at most.
     w = Window.partitionBy("b").orderBy("b_code")
     few = right.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    rank = Window.partitionBy("a_code").orderBy(F.desc("score"), F.asc("b_code"))
-    return (left.join(few, "b").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    best, order = Window.partitionBy("a"), (F.desc("score"), F.asc("b_code"))
+    near = (scored.join(few, "b").withColumn("_r", F.row_number().over(best.orderBy(*order)))
+            .where(F.col("_r") <= k).select("a", "b_code", "score"))
+    # Codes may repeat, with other names.
+    rank = Window.partitionBy("a_code").orderBy(*order)
+    return (left.join(near, "a").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
             .select("a_code", "b_code", "score", "rank"))
 
 
