@@ -113,7 +113,8 @@ def split_scope(ws: Workspace):
 @query("g2_tree_rules")
 def tree_rules(ws: Workspace):
     """Bad-enriched leaf paths of the full-sample tree, mined on the training side."""
-    rules, _, _ = RU.candidates(ws.wide, MODEL_ROLES)
+    rules, rows, _ = RU.candidates(ws.wide, MODEL_ROLES)
+    rows.unpersist()
     return rules.select(*S.SEG, "leaf", RU.conditions_text(F.col("conditions")).alias("rule"), "leaf_n", "leaf_bad")
 
 
@@ -145,7 +146,8 @@ def _given_eval(ws: Workspace, df=None):
 
 @query("g4_leaf_counts")
 def leaf_counts(ws: Workspace):
-    rules, _, _ = RU.candidates(ws.wide, MODEL_ROLES, dims=("c_mktsegment",))
+    rules, rows, _ = RU.candidates(ws.wide, MODEL_ROLES, dims=("c_mktsegment",))
+    rows.unpersist()
     return rules.select(*S.SEG, "leaf", "leaf_n", "leaf_bad")
 
 
