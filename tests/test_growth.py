@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from risklens.config import Roles
-from risklens.operators import iv as IV, quantiles as Q
+from risklens.operators import iv as IV, quantiles as Q, univariate as U
 from risklens.operators.segments import KEY, SEG, eligible, long_form
 
 ROLES = Roles("id", "y", ("a", "b", "c", "d"), ("g",))
@@ -54,3 +54,29 @@ def test_brackets_hold_few_values(spark):
     sk = Q.sketch(long, KEY, F.lit(10), small_n=1000)
     kept = Q.histogram(long, KEY, sk).where("v IS NOT NULL").groupBy(*SEG, "feature").count().collect()
     assert {r.feature: r["count"] for r in kept if r.segment_name == "u"}["a"] < 3600 * 0.06
+
+
+def test_moments_come_from_one_row_per_class(spark):
+    rng = np.random.default_rng(2)
+    n = 900
+    k = np.repeat(["mixed", "far", "flat", "one class", "single", "none"], n // 6)
+    pdf = pd.DataFrame({"k": k, "x": rng.normal(size=n), "y": rng.integers(0, 2, n)})
+    pdf.loc[pdf.k == "far", "x"] += 1e8
+    pdf.loc[pdf.k == "flat", "x"] = 0.1
+    pdf.loc[pdf.k == "one class", "y"] = 1
+    pdf.loc[(pdf.k == "none") | ((pdf.k == "single") & (pdf.index != pdf[pdf.k == "single"].index[3])), "x"] = np.nan
+    long = spark.createDataFrame(pdf).withColumn("x", F.nanvl("x", F.lit(None).cast("double")))
+    x, y = F.col("x"), F.when(F.col("x").isNotNull(), F.col("y"))
+    bad, good = F.when(y == 1, x), F.when(y == 0, x)
+    want = long.groupBy("k").agg(
+        F.count("x").alias("n"), F.count(bad).alias("n_bad"), F.count(good).alias("n_good"), F.avg(bad).alias("mean_bad"),
+        F.avg(good).alias("mean_good"), F.var_samp(bad).alias("_vb"), F.var_samp(good).alias("_vg"), F.stddev_samp(x).alias("_sx"),
+        F.stddev_samp(y).alias("_sy"), F.covar_samp(x, y.cast("double")).alias("_cov"))
+    got = U.moments(long, ["k"])
+    both = [d.select(*want.columns).orderBy("k").toPandas() for d in (got, want)]
+    pd.testing.assert_frame_equal(*both, check_exact=False, rtol=1e-7, atol=1e-12)
+    sd = both[0].set_index("k")["_sx"]
+    assert sd["flat"] == 0 and np.isnan(sd["single"]) and np.isnan(sd["none"])
+    # Of the raw rows only five aggregates, those of a class, are taken.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "stddev_samp" not in plan and "covar_samp" not in plan and plan.count("var_pop") == 1
